@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stridelake.llm import exact_dedup, mixing
+from stridelake.llm import exact_dedup, mixing, ogg_media, packing
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         mixing.op1_mix_sources,
         exact_dedup.op2_exact_dedup,
+        ogg_media.op5_ogg_media,
+        packing.op9_sum_of_squares_packing,
     )
     return {f.__name__: f for f in found}
 
