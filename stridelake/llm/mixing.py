@@ -24,7 +24,7 @@ from stridelake.llm.common import materialize, prepare, read, small_or_shuffled
 WEIGHTS, SHARE, CAP, SEED = (5, 2, 1), 1.5, 2, "mix-1"
 WORD = r"[^\x20\x09-\x0D]+"
 #: Rows of one source that share a key range, about; a window never holds more than a few times that.
-RANGE_ROWS = 50_000
+RANGE_ROWS = 4_000
 
 
 def mix_key(seed: str) -> Column:
