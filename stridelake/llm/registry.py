@@ -6,18 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stridelake.llm import exact_dedup, mixing, ogg_media, packing
+from stridelake.llm import chat_tree, exact_dedup, language_id, mixing, ogg_media, packing, quality_knn
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         mixing.op1_mix_sources,
         exact_dedup.op2_exact_dedup,
+        chat_tree.op3_chat_prefix_tree,
         ogg_media.op5_ogg_media,
+        quality_knn.op7_quality_knn,
+        language_id.op8_language_id,
         packing.op9_sum_of_squares_packing,
     )
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mix_sources": mixing.SQL, "op2_exact_dedup": exact_dedup.SQL}
+    return {"op1_mix_sources": mixing.SQL, "op2_exact_dedup": exact_dedup.SQL, "op3_chat_prefix_tree": chat_tree.SQL}
