@@ -14,8 +14,8 @@ doc_ids stay null; an empty table gives an empty result; other columns are ignor
 
 from __future__ import annotations
 
-import itertools
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -29,10 +29,10 @@ from stridelake.llm.common import materialize, prepare, read
 SEQUENCE, SEPARATOR, VOCABULARY = 2048, 0, "word_bpe_49k.json"
 #: Pieces that one task packs, about.
 GROUP_PIECES = 50_000
-#: Entries of a worker's word cache; older ones go when it is full.
-CACHE_WORDS = 400_000
+#: Entries of a generation of a worker's word caches.
+CACHE_WORDS = 350_000
 #: Characters for which lower() and split() do what the vocabulary's normaliser does; texts with any other take the plain path.
-UNUSUAL = re.compile(r"[^\t-\r\x20-\x7e\xa0-įı-ɏ]|<\|")
+UNUSUAL = re.compile(r"[^\t-\r\x20-\x7e\xa0-įı-ſ]|<\|")
 
 
 def tokenizer_path(name: str = VOCABULARY) -> str:
@@ -41,42 +41,63 @@ def tokenizer_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
+#: What the vocabulary's pre-tokeniser splits off, for lower-case texts without unusual characters.
+UNITS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ſ]+|[0-9²³¹¼-¾]|[^\sa-zªµºß-öø-ſ0-9²³¹¼-¾]+")
+
+
+def byte_letters() -> dict[int, str]:
+    """The printable letter that byte-level vocabularies write for each byte: itself where it is printable,
+    else the next free code point from 256 on."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+class Generations(dict):
+    """A dict of bounded size: when it holds `most` keys it becomes the older one, and the older one goes."""
+
+    def __init__(self, most: int, make) -> None:
+        super().__init__()
+        self.most, self.make, self.older = most, make, {}
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= self.most:
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
 class WordTokenizer:
-    """Ids of texts as packed little-endian uint32, equal to the library's; remembers the ids of each
-    white-space separated chunk, across which this vocabulary never merges."""
+    """Ids of texts as packed little-endian uint32, equal to the library's. The ids of each white-space
+    separated chunk, across which this vocabulary never merges, and of the units in it are remembered."""
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
-        self.plain, self.known, self.older = Tokenizer.from_file(path), {}, {}
-
-    def learn(self, words: list[str]) -> None:
-        if len(self.known) > CACHE_WORDS // 2:
-            self.known, self.older = {}, self.known
-        for i in range(0, len(words), 5000):
-            part = words[i : i + 5000]
-            starts = np.cumsum([0] + [len(w) + 1 for w in part])
-            encoded = self.plain.encode(" ".join(part), add_special_tokens=False)
-            ids = np.array(encoded.ids, np.uint32)
-            at = np.array([o[0] for o in encoded.offsets], np.int64)
-            cut = np.searchsorted(at, starts)
-            packed = ids.tobytes()
-            self.known.update((w, packed[4 * a : 4 * b]) for w, a, b in zip(part, cut[:-1].tolist(), cut[1:].tolist(), strict=True))
+        self.plain = Tokenizer.from_file(path)
+        self.model, self.letters = self.plain.model, byte_letters()
+        self.units = Generations(CACHE_WORDS, self.unit)
+        self.chunks = Generations(CACHE_WORDS, self.chunk)
+
+    def unit(self, unit: str) -> bytes:
+        if not unit.isascii():
+            unit = "".join(map(self.letters.__getitem__, unit.encode()))
+        ids = [t.id for t in self.model.tokenize(unit)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def chunk(self, chunk: str) -> bytes:
+        if chunk.isalpha() and chunk.isascii():
+            return self.units[chunk]
+        return b"".join(map(self.units.__getitem__, UNITS.findall(chunk)))
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
-        words = [None if t is None or UNUSUAL.search(t) else t.lower().split() for t in texts]
-        missing = set(itertools.filterfalse(self.known.__contains__, itertools.chain.from_iterable(filter(None, words))))
-        if missing and self.older:
-            again = {w: ids for w in missing if (ids := self.older.get(w)) is not None}
-            self.known |= again
-            missing -= again.keys()
-        if missing:
-            before = self.known
-            self.learn(sorted(missing))
-            if self.known is not before:  # a new generation: what this batch needs comes along
-                self.known |= {w: self.older[w] for w in set(itertools.chain.from_iterable(filter(None, words))) - self.known.keys()}
-        odd = [i for i, (t, w) in enumerate(zip(texts, words, strict=True)) if t and w is None]
-        out = [b"".join(map(self.known.__getitem__, w)) if w else b"" for w in words]
+        odd = [i for i, t in enumerate(texts) if t and UNUSUAL.search(t)]
+        skip = set(odd)
+        out = [b"" if not t or i in skip else b"".join(map(self.chunks.__getitem__, t.lower().split())) for i, t in enumerate(texts)]
         for i, e in zip(odd, self.plain.encode_batch([texts[i] for i in odd], add_special_tokens=False), strict=True):
             out[i] = np.array(e.ids, "<u4").tobytes()
         return out
