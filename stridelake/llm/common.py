@@ -67,6 +67,11 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """One struct column `row` with all columns of docs, so that no name of theirs can clash; undone by select("row.*")."""
+    return docs.select(F.struct(F.col("*")).alias("row"))
+
+
 def small_or_shuffled(df: DataFrame, rows: int | None = None, limit: int = BROADCAST_ROWS) -> DataFrame:
     """Broadcasts a side whose counted rows stay under the limit; a shuffled hash join otherwise."""
     n = df.count() if rows is None else rows

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from stridelake.llm.common import materialize, prepare, read
+from stridelake.llm.common import materialize, packed, prepare, read
 
 #: Counters of the Misra-Gries sketch, which is the most rows that are ever broadcast.
 HEAVY = 512
@@ -55,10 +55,10 @@ def drop_copies(docs: DataFrame, heavy: int = HEAVY) -> DataFrame:
     """The rows of docs that stay. Losers of heavy digests go where they are read; the others meet once."""
     prepare(docs.sparkSession)
     winners = heavy_winners(numbered(docs), heavy).select(F.col("text_sha256").alias("_heavy"), F.col("best.doc_id").alias("_keep"))
-    keyed = docs.withColumn("_digest", digest(docs["text"]))
-    left = keyed.join(F.broadcast(winners), F.col("_digest") == F.col("_heavy"), "left").where(F.col("_heavy").isNull() | docs["doc_id"].eqNullSafe(F.col("_keep")))
-    first = F.row_number().over(W.partitionBy("_digest").orderBy(docs["doc_id"].desc_nulls_last()))
-    return left.withColumn("_first", first).where("_first = 1").select(*[docs[c] for c in docs.columns])
+    keyed = packed(docs).withColumn("_digest", digest(F.col("row.text")))
+    left = keyed.join(F.broadcast(winners), F.col("_digest") == F.col("_heavy"), "left").where(F.col("_heavy").isNull() | F.col("row.doc_id").eqNullSafe(F.col("_keep")))
+    first = F.row_number().over(W.partitionBy("_digest").orderBy(F.col("row.doc_id").desc_nulls_last()))
+    return left.withColumn("_first", first).where("_first = 1").select("row.*")
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

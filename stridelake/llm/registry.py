@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stridelake.llm import chat_tree, exact_dedup, language_id, mixing, ogg_media, packing, quality_knn
+from stridelake.llm import chat_tree, exact_dedup, language_id, mixing, near_dedup, ogg_media, packing, quality_knn
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -18,6 +18,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         quality_knn.op7_quality_knn,
         language_id.op8_language_id,
         packing.op9_sum_of_squares_packing,
+        near_dedup.op10_icws_near_dedup,
     )
     return {f.__name__: f for f in found}
 
