@@ -7,7 +7,6 @@ import os
 import sys
 import tempfile
 import uuid
-from collections.abc import Iterator
 from pathlib import Path
 
 import numpy as np
@@ -129,11 +128,23 @@ def run_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
         return mix64(h ^ (ends - starts).astype(np.uint64))
 
 
-def arrow_map(df: DataFrame, fn, schema: str) -> DataFrame:
-    """mapInArrow for a fn that turns one batch into one table or None."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows and (out := fn(batch)) is not None:
-                yield from out.to_batches() if isinstance(out, pa.Table) else [out]
-
-    return df.mapInArrow(run, schema)
+#: Bytes as they count for words: ASCII letters in lower case, digits and other scripts as they are, the rest as space.
+FOLDED = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or 48 <= b <= 57 or b >= 128 else 32 for b in range(256))
+
+
+def word_hashes(column: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Row and 64-bit hash of each word of a batch of texts, in order. Words are runs of ASCII letters,
+    digits and bytes of other scripts, in lower case."""
+    data, offsets = text_bytes(column)
+    if not len(data):
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    folded = np.frombuffer(data.tobytes().translate(FOLDED), np.uint8)
+    inside = folded != 32
+    edge = np.ones(len(folded) + 1, bool)
+    edge[1:-1] = inside[1:] != inside[:-1]
+    edge[offsets] = True
+    cuts = np.flatnonzero(edge)
+    starts, ends = cuts[:-1], cuts[1:]
+    word = inside[starts]
+    starts, ends = starts[word], ends[word]
+    return np.searchsorted(offsets, starts, side="right") - 1, run_hashes(folded, starts, ends)

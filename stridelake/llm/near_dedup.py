@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from stridelake.llm.common import materialize, mix64, packed, prepare, read, run_hashes, small_or_shuffled, text_bytes
+from stridelake.llm.common import materialize, mix64, packed, prepare, read, small_or_shuffled, word_hashes
 from stridelake.llm.components import components
 
 SHINGLE, SIMILARITY, BANDS, ROWS = 5, 0.8, 10, 2
@@ -45,30 +45,14 @@ WIDTH, CHUNK, PSEUDO, SATURATE = 1 << 19, 1 << 15, 100, 3
 TABLE_BITS = 17
 NO_ID = -(1 << 63)
 
-_FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or 48 <= b <= 57 or b >= 128 else 32 for b in range(256))
-
-
 def shingles(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For a batch of texts: the row of each feature, its shingle's hash (48 bits) and its occurrence
     number in the text, ordered by row and shingle."""
-    data, offsets = text_bytes(column)
-    n = len(offsets) - 1
-    empty = np.zeros(0, np.int64)
-    if not len(data):
-        return empty, empty.astype(np.uint64), empty
-    folded = np.frombuffer(data.tobytes().translate(_FOLD), np.uint8)
-    inside = folded != 32
-    edge = np.ones(len(folded) + 1, bool)
-    edge[1:-1] = inside[1:] != inside[:-1]
-    edge[offsets] = True
-    cuts = np.flatnonzero(edge)
-    starts, ends = cuts[:-1], cuts[1:]
-    word = inside[starts]
-    starts, ends = starts[word], ends[word]
-    if not len(starts):
+    n = len(column)
+    row, words = word_hashes(column)
+    if not len(words):
+        empty = np.zeros(0, np.int64)
         return empty, empty.astype(np.uint64), empty
-    row = np.searchsorted(offsets, starts, side="right") - 1
-    words = run_hashes(folded, starts, ends)
     per = np.bincount(row, minlength=n)
     first = np.concatenate([[0], np.cumsum(per)])
     padded = np.concatenate([words, np.zeros(SHINGLE - 1, np.uint64)])

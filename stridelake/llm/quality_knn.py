@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stridelake.llm.common import mix64, prepare, read, run_hashes, text_bytes
+from stridelake.llm.common import mix64, packed, prepare, read, run_hashes, text_bytes
 from stridelake.llm.language_id import fold, hash_sample
 
 REFERENCES, DIMENSIONS, NEIGHBOURS, POWER, THRESHOLD = 2500, 64, 15, 8, 0.3
@@ -142,19 +142,24 @@ def score(model: dict, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def scored(docs: DataFrame, model: dict) -> DataFrame:
-    """The columns of docs and quality_score, for every row."""
+    """row (a struct of all columns of docs) and score, for every row."""
     shared = prepare(docs.sparkSession).sparkContext.broadcast(model)
-    text = docs.columns.index("text")
-    name = next(n for n in ("quality_score", *(f"quality_score_{i}" for i in range(99))) if n not in docs.columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(0, batch.num_rows, BLOCK):
                 part = batch.slice(i, BLOCK)
-                s = score(shared.value, *text_bytes(part.column(text)))
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(s, pa.float64())], [*part.schema.names, name])
+                s = score(shared.value, *text_bytes(part.column("text")))
+                yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(s, pa.float64())], ["row", "score"])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
+    wide = packed(docs)
+    schema = T.StructType([*wide.schema.fields, T.StructField("score", T.DoubleType())])
+    return wide.select("row", F.col("row.text").alias("text")).mapInArrow(run, schema)
+
+
+def good_documents(docs: DataFrame, model: dict, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of docs that score at least the threshold."""
+    return scored(docs, model).where(F.col("score") >= threshold).select("row.*")
 
 
 def model_of(spark: SparkSession, docs: DataFrame, sf_dir: str) -> dict:
@@ -165,5 +170,5 @@ def model_of(spark: SparkSession, docs: DataFrame, sf_dir: str) -> dict:
 
 def op7_quality_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select(F.col("doc_id").cast("long"), "text")
-    found = scored(docs, model_of(spark, docs, sf_dir))
-    return found.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), F.col("quality_score").alias("score"), (F.col("quality_score") >= THRESHOLD).cast("int").alias("predicted"))
+    found = scored(docs, model_of(spark, docs, sf_dir)).select("row.doc_id", "score")
+    return found.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stridelake.llm import chat_tree, exact_dedup, language_id, mixing, near_dedup, ogg_media, packing, quality_knn
+from stridelake.llm import chat_tree, exact_dedup, language_id, lm_score, mixing, near_dedup, ogg_media, packing, quality_knn
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,6 +15,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         exact_dedup.op2_exact_dedup,
         chat_tree.op3_chat_prefix_tree,
         ogg_media.op5_ogg_media,
+        lm_score.op6_lm_cross_entropy,
         quality_knn.op7_quality_knn,
         language_id.op8_language_id,
         packing.op9_sum_of_squares_packing,
