@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stridelake.llm import chat_tree, exact_dedup, language_id, lm_score, mixing, near_dedup, ogg_media, packing, quality_knn
+from stridelake.llm import chat_tree, exact_dedup, language_id, lm_score, mixing, near_dedup, ogg_media, packing, quality_knn, suffix_dedup
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +14,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         mixing.op1_mix_sources,
         exact_dedup.op2_exact_dedup,
         chat_tree.op3_chat_prefix_tree,
+        suffix_dedup.op4_suffix_array_dedup,
         ogg_media.op5_ogg_media,
         lm_score.op6_lm_cross_entropy,
         quality_knn.op7_quality_knn,
