@@ -445,7 +445,7 @@ def plot_columns(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("vec_id", *[r6(c).alias(c) for c in "abc"])
 
 
-@query("SELECT p_partkey, len(list_filter(string_split(p_type || ' ' || p_name, ' '), x -> x NOT IN ('ECONOMY', 'ring', 'red'))) AS odd FROM part")
+@query("SELECT p_partkey, len(list_filter(string_split(p_type || ' ' || p_name, ' '), lambda x: x NOT IN ('ECONOMY', 'ring', 'red'))) AS odd FROM part")
 def unexpected_names(spark: SparkSession, sf: str) -> DataFrame:
     names = F.split(F.concat_ws(" ", "p_type", "p_name"), " ")
     return t(spark, sf, "part").select("p_partkey", F.size(F.filter(names, lambda n: F.size(sets.unexpected(F.array(n), ["ECONOMY", "ring", "red"])) > 0)).cast("long").alias("odd"))
@@ -454,10 +454,10 @@ def unexpected_names(spark: SparkSession, sf: str) -> DataFrame:
 # --- scalar functions
 
 
-@query("""WITH e AS (SELECT event_id, value / 50 - 1 AS x FROM events) SELECT event_id, round(CASE WHEN x > 0 THEN 0.10 * (1 - x / 2) ELSE 0.10 - x * 0.90 / 1.6 END, 6) AS second, round(x, 6) + 0.0 AS back,
+@query("""WITH e AS (SELECT event_id, value / 47.3 - 1 AS x FROM events) SELECT event_id, round(CASE WHEN x > 0 THEN 0.10 * (1 - x / 2) ELSE 0.10 - x * 0.90 / 1.6 END, 6) AS second, round(x, 6) + 0.0 AS back,
 round(CASE WHEN x > 0 THEN 0.5 - x / 7 ELSE 0.5 - x END, 6) AS left_unit, round(CASE WHEN x < 0 THEN x / 7 + 0.5 ELSE x + 0.5 END, 6) AS right_unit, round(greatest(0, least(1, CASE WHEN x > 0 THEN 0.10 * (1 - x / 2) ELSE 0.10 - x * 0.90 / 1.6 END)), 6) AS sent FROM e""")
 def gripper_curves(spark: SparkSession, sf: str) -> DataFrame:
-    e = t(spark, sf, "events").select("event_id", (F.col("value") / 50 - 1).alias("x"))
+    e = t(spark, sf, "events").select("event_id", (F.col("value") / 47.3 - 1).alias("x"))
     trigger = R.effort_to_trigger(F.col("x"))
     return e.select("event_id", F.round(trigger, 6).alias("second"), r6(R.trigger_to_effort(trigger)).alias("back"), F.round(R.left_effort_to_unit(F.col("x")), 6).alias("left_unit"), F.round(R.right_effort_to_unit(F.col("x")), 6).alias("right_unit"), F.round(R.published(trigger), 6).alias("sent"))
 
@@ -564,7 +564,7 @@ def rtc_splice(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("user_id", "step", "chunk_step")
 
 
-@query("""SELECT event_id FROM events QUALIFY row_number() OVER w = 1 OR event_type IS DISTINCT FROM lag(event_type) OVER w WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""")
+@query("""SELECT event_id FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id) QUALIFY row_number() OVER w = 1 OR event_type IS DISTINCT FROM lag(event_type) OVER w""")
 def dedupe_latest(spark: SparkSession, sf: str) -> DataFrame:
     return playback.if_new(user_steps(spark, sf), "user_id", "step", "event_type").select("event_id")
 
