@@ -7,10 +7,12 @@ import os
 import sys
 import tempfile
 import uuid
+from collections.abc import Iterator
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +28,10 @@ def prepare(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     env = spark.sparkContext.environment
+    # workers give freed memory back to the system
+    env.setdefault("ARROW_DEFAULT_MEMORY_POOL", "system")
+    env.setdefault("MALLOC_MMAP_THRESHOLD_", str(16 << 20))
+    env.setdefault("MALLOC_TRIM_THRESHOLD_", str(32 << 20))
     if ROOT not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(filter(None, [ROOT, env.get("PYTHONPATH", "")]))
     if ROOT not in sys.path:
@@ -93,6 +99,17 @@ def text_bytes(column: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, np.ndarr
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def slices(batch: pa.RecordBatch, rows: int = 256, nbytes: int = 1 << 19, column: str = "text") -> Iterator[pa.RecordBatch]:
+    """Parts of a batch that hold at most so many rows, and at most so many bytes of the column unless one row has more."""
+    size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    begin = 0
+    while begin < batch.num_rows:
+        used = int(size[begin - 1]) if begin else 0
+        end = min(begin + rows, max(begin + 1, int(np.searchsorted(size, used + nbytes, side="right"))))
+        yield batch.slice(begin, end - begin)
+        begin = min(end, batch.num_rows)
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """Finaliser of SplitMix64 (public domain), on uint64."""
     with np.errstate(over="ignore"):

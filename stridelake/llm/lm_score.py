@@ -25,13 +25,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stridelake.llm.common import materialize, prepare, read, small_or_shuffled, word_hashes
+from stridelake.llm.common import materialize, prepare, read, slices, small_or_shuffled, word_hashes
 from stridelake.llm.language_id import fold
 
 VOCABULARY, BIGRAMS = 1 << 15, 1 << 20
 BIGRAM_SHARE, SMOOTH = 0.6, 0.5
 #: Distinct keys that a task holds before it sends them on.
-HELD = 3_000_000
+HELD = 1_500_000
 
 
 def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -58,7 +58,7 @@ def counted(docs: DataFrame, keys) -> DataFrame:
             held.clear()
             sums.clear()
 
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 4096, 2 << 20)):
             row, h = word_hashes(batch.column("text"))
             if not len(h):
                 continue
@@ -117,7 +117,7 @@ def fit(docs: DataFrame, vocabulary: int = VOCABULARY, bigrams: int = BIGRAMS) -
     """Both models, from docs (text, target)."""
     spark = prepare(docs.sparkSession)
     words = counted(docs, lambda row, h: (np.arange(len(h)), h.view(np.int64)))
-    kept = most_frequent(words, vocabulary).toPandas().sort_values("key")
+    kept = most_frequent(words, vocabulary).toArrow().to_pandas().sort_values("key")
     totals = words.agg(F.sum("target"), F.sum("background")).first()
     total = np.array([totals[0] or 0, totals[1] or 0], np.float64)
     vocab = Vocabulary(kept["key"].to_numpy())
@@ -134,9 +134,9 @@ def fit(docs: DataFrame, vocabulary: int = VOCABULARY, bigrams: int = BIGRAMS) -
     both = counted(docs, pairs)
     before = F.floor(F.col("key") / (vocab.size + 1)).cast("int")
     history = np.zeros((vocab.size + 1, 2))
-    for r in both.groupBy(before.alias("h")).agg(F.sum("target").alias("t"), F.sum("background").alias("b")).collect():  # a row per word of the vocabulary
-        history[r["h"]] = r["t"], r["b"]
-    table = most_frequent(both, bigrams).toPandas().sort_values("key")
+    sums = both.groupBy(before.alias("h")).agg(F.sum("target").alias("t"), F.sum("background").alias("b")).toArrow().to_pandas()  # a row per word of the vocabulary
+    history[sums["h"].to_numpy()] = sums[["t", "b"]].to_numpy()
+    table = most_frequent(both, bigrams).toArrow().to_pandas().sort_values("key")
     key = table["key"].to_numpy()
     share = table[["target", "background"]].to_numpy() / np.maximum(history[key // (vocab.size + 1)], 1)
     return {"vocabulary": vocab, "unigram": unigram.astype(np.float32), "seen": history > 0, "key": key, "share": share.astype(np.float32)}
@@ -161,7 +161,7 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
     shared = prepare(docs.sparkSession).sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             row, h = word_hashes(batch.column("text"))
             n = np.bincount(row, minlength=batch.num_rows)
             each = losses(shared.value, row, h) if len(h) else np.zeros((0, 2))

@@ -15,7 +15,7 @@ weighted Jaccard similarity, and links of at least SIMILARITY join texts into cl
 - Texts that are equal are one text from the start. Of buckets with the same members one is compared.
 - A bucket is searched exactly, inside one task: a text is compared with all that it is not linked to
   yet, until no unlinked pair is left; only a spanning forest of links comes out, never all pairs.
-- A bucket of more than BUCKET texts is split into shards that each hold its hubs, the texts nearest to
+- A bucket whose texts have more than BUCKET features is split into shards that each hold its hubs, the texts nearest to
   the bucket's most common samples; texts that no hub links are then compared with every shard, in blocks.
 
 Defined cases: a null text counts as empty; texts without words are in the class of their exact copies;
@@ -33,14 +33,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from stridelake.llm.common import materialize, mix64, packed, prepare, read, small_or_shuffled, word_hashes
+from stridelake.llm.common import materialize, mix64, packed, prepare, read, slices, small_or_shuffled, word_hashes
 from stridelake.llm.components import components
 
 SHINGLE, SIMILARITY, BANDS, ROWS = 5, 0.8, 10, 2
 SAMPLES = BANDS * ROWS
-#: Most texts of a bucket that one task compares.
-BUCKET, HUBS = 4096, 4
-WIDTH, CHUNK, PSEUDO, SATURATE = 1 << 19, 1 << 15, 100, 3
+#: Most features that the texts of a bucket may have together to be compared by one task.
+BUCKET, HUBS = 1 << 21, 4
+WIDTH, CHUNK, PSEUDO, SATURATE = 1 << 17, 1 << 14, 100, 3
 #: Quantiles in the tables of the two gamma-distributed variables.
 TABLE_BITS = 17
 NO_ID = -(1 << 63)
@@ -82,10 +82,11 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, rows = np.zeros(2 * WIDTH, np.int64), 0
         for batch in batches:
-            _, shingle, occurrence = shingles(batch.column("text"))
-            once = shingle[occurrence == 0]
-            for c in cells(once):
-                total += np.bincount(c, minlength=2 * WIDTH)
+            for part in slices(batch, 4096, 1 << 19):
+                _, shingle, occurrence = shingles(part.column("text"))
+                once = shingle[occurrence == 0]
+                for c in cells(once):
+                    total += np.bincount(c, minlength=2 * WIDTH)
             rows += batch.num_rows
         if rows:
             parts = total.reshape(-1, CHUNK)
@@ -105,7 +106,7 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
     while (most := parts.count() // chunks) > 1:
         salted = parts.withColumn("salt", F.pmod(F.monotonically_increasing_id(), F.lit(max(1, most // 64))))
         parts = materialize(salted.groupBy("chunk", "salt").applyInArrow(add, schema), "frequencies")
-    got = parts.groupBy("chunk").applyInArrow(add, schema).orderBy("chunk").collect()  # 16 MB, whatever the input
+    got = parts.groupBy("chunk").applyInArrow(add, schema).orderBy("chunk").collect()  # 2 MB, whatever the input
     return (np.concatenate([np.frombuffer(r["counts"], np.int64) for r in got]), got[0]["n"]) if got else (np.zeros(2 * WIDTH, np.int64), 0)
 
 
@@ -179,19 +180,18 @@ def text_digest(text: Column) -> Column:
 
 
 def signatures(docs: DataFrame, idf) -> DataFrame:
-    """doc_id, digest (of the text), words (whether it has any), samples."""
+    """doc_id, digest (of the text), features (their number), samples."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(0, batch.num_rows, 200):
-                part = batch.slice(i, 200)
+            for part in slices(batch):
                 row, f, weight = features(part.column("text"), idf.value)
                 drawn = weighted_samples(row, f, weight, part.num_rows)
-                has = np.bincount(row, minlength=part.num_rows) > 0
+                has = np.bincount(row, minlength=part.num_rows)
                 flat = pa.ListArray.from_arrays(pa.array(np.arange(part.num_rows + 1) * SAMPLES, pa.int32()), pa.array(drawn.ravel()))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("digest"), pa.array(has), flat], ["doc_id", "digest", "words", "samples"])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("digest"), pa.array(has), flat], ["doc_id", "digest", "features", "samples"])
 
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), "text", text_digest(F.col("text")).alias("digest")).mapInArrow(run, "doc_id long, digest binary, words boolean, samples array<long>")
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), "text", text_digest(F.col("text")).alias("digest")).mapInArrow(run, "doc_id long, digest binary, features long, samples array<long>")
 
 
 def band_key(band: Column, samples: Column) -> Column:
@@ -199,13 +199,14 @@ def band_key(band: Column, samples: Column) -> Column:
 
 
 def buckets(texts: DataFrame) -> DataFrame:
-    """From (digest, samples): bucket, size, digest for buckets of two and more, one of those with the same members."""
-    bands = texts.select("digest", F.posexplode(F.array(*[band_key(F.lit(b), F.col("samples")) for b in range(BANDS)]))).select(F.col("col").alias("bucket"), "digest")
+    """From (digest, features, samples): bucket, total (of features), digest for buckets of two texts and more,
+    one of those with the same members."""
+    bands = texts.select("digest", "features", F.posexplode(F.array(*[band_key(F.lit(b), F.col("samples")) for b in range(BANDS)]))).select(F.col("col").alias("bucket"), "digest", "features")
     bands = materialize(bands, "bands")
     member = F.xxhash64("digest", F.lit(1)).cast("decimal(38,0)")
-    sets = bands.groupBy("bucket").agg(F.count("*").alias("size"), F.sum(member).alias("sum"), F.bit_xor(F.xxhash64("digest", F.lit(2))).alias("xor")).where("size > 1")
-    once = materialize(sets.groupBy("size", "sum", "xor").agg(F.min("bucket").alias("bucket")).select("bucket", "size"), "buckets")
-    return bands.join(small_or_shuffled(once), "bucket")
+    sets = bands.groupBy("bucket").agg(F.count("*").alias("size"), F.sum("features").alias("total"), F.sum(member).alias("sum"), F.bit_xor(F.xxhash64("digest", F.lit(2))).alias("xor")).where("size > 1")
+    once = materialize(sets.groupBy("size", "sum", "xor").agg(F.min(F.struct("bucket", "total")).alias("b")).select("b.*"), "buckets")
+    return bands.join(small_or_shuffled(once), "bucket").select("bucket", "total", "digest", "features")
 
 
 def candidate_features(docs: DataFrame, members: DataFrame, texts: DataFrame, idf) -> DataFrame:
@@ -217,8 +218,7 @@ def candidate_features(docs: DataFrame, members: DataFrame, texts: DataFrame, id
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(0, batch.num_rows, 200):
-                part = batch.slice(i, 200)
+            for part in slices(batch):
                 row, f, weight = features(part.column("text"), idf.value)
                 order = np.lexsort((f, row))
                 row, f, weight = row[order], f[order], np.exp(weight[order])
@@ -295,7 +295,7 @@ def _compare(groups: DataFrame, similarity: float) -> DataFrame:
 def _compare_large(members: DataFrame, feats: DataFrame, texts: DataFrame, similarity: float, bucket: int) -> DataFrame:
     """Links in buckets that are too large for one task: through hubs first, then the rest against every shard."""
     half = max(1, bucket // 2)
-    shards = F.ceil(F.col("size") / half).cast("int")
+    shards = F.ceil(F.col("total") / half).cast("int")
     members = materialize(members.withColumn("shards", shards).withColumn("shard", F.pmod(F.xxhash64("digest", F.lit(3)), F.col("shards")).cast("int")), "large")
     drawn = materialize(members.join(texts.select("digest", "samples"), "digest"), "large-samples")
     each = drawn.select("bucket", F.posexplode("samples").alias("k", "value")).groupBy("bucket", "k", "value").agg(F.count("*").alias("n"))
@@ -316,7 +316,7 @@ def _compare_large(members: DataFrame, feats: DataFrame, texts: DataFrame, simil
     settled = members.join(linked, members["digest"] == linked["node"]).join(of_hubs.groupBy("bucket").agg(F.max("label").alias("main")), "bucket").where("label = main").select("bucket", "digest")
     rest = materialize(members.join(settled, ["bucket", "digest"], "left_anti"), "large-rest")
     block = F.pmod(F.xxhash64("digest", F.lit(5)), F.greatest(F.lit(1), F.ceil(F.col("left") / half))).cast("int")
-    blocks = materialize(rest.join(F.broadcast(rest.groupBy("bucket").agg(F.count("*").alias("left"))), "bucket").withColumn("block", block), "large-blocks")
+    blocks = materialize(rest.join(F.broadcast(rest.groupBy("bucket").agg(F.sum("features").alias("left"))), "bucket").withColumn("block", block), "large-blocks")
     if blocks.isEmpty():
         return first
     numbers = F.broadcast(blocks.groupBy("bucket").agg(F.max("block").alias("last")))
@@ -332,12 +332,12 @@ def near_texts(docs: DataFrame, similarity: float = SIMILARITY, bucket: int = BU
     frequencies, n = document_frequencies(docs)
     idf = spark.sparkContext.broadcast(log_idf(frequencies, n))
     signed = materialize(signatures(docs, idf), "signatures")
-    texts = materialize(signed.groupBy("digest").agg(F.min("doc_id").alias("rep_id"), F.count("*").alias("rows"), F.first("words").alias("words"), F.first("samples").alias("samples")), "texts")
-    members = materialize(buckets(texts.where("words")), "members")
+    texts = materialize(signed.groupBy("digest").agg(F.min("doc_id").alias("rep_id"), F.count("*").alias("rows"), F.first("features").alias("features"), F.first("samples").alias("samples")), "texts")
+    members = materialize(buckets(texts.where("features > 0")), "members")
     feats = candidate_features(docs, members, texts, idf)
-    small = members.where(F.col("size") <= bucket)
+    small = members.where(F.col("total") <= bucket)
     links = _compare(small.select(F.col("bucket").alias("key"), "digest", F.lit(None).cast("boolean").alias("expand")).join(feats, "digest"), similarity)
-    large = members.where(F.col("size") > bucket)
+    large = members.where(F.col("total") > bucket)
     if not large.isEmpty():
         links = links.unionByName(_compare_large(large, feats, texts, similarity, bucket))
     labels = components(links)

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stridelake.llm.common import mix64, packed, prepare, read, run_hashes, text_bytes
+from stridelake.llm.common import mix64, packed, prepare, read, run_hashes, slices, text_bytes
 from stridelake.llm.language_id import fold, hash_sample
 
 REFERENCES, DIMENSIONS, NEIGHBOURS, POWER, THRESHOLD = 2500, 64, 15, 8, 0.3
@@ -88,8 +88,7 @@ def terms(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 def _feature_rows(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(0, batch.num_rows, BLOCK):
-                part = batch.slice(i, BLOCK)
+            for part in slices(batch, BLOCK):
                 x = terms(*text_bytes(part.column("text"))).astype(np.float16)
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("label"), pa.array([r.tobytes() for r in x], pa.binary())], ["doc_id", "label", "x"])
 
@@ -147,8 +146,7 @@ def scored(docs: DataFrame, model: dict) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(0, batch.num_rows, BLOCK):
-                part = batch.slice(i, BLOCK)
+            for part in slices(batch, BLOCK):
                 s = score(shared.value, *text_bytes(part.column("text")))
                 yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(s, pa.float64())], ["row", "score"])
 
