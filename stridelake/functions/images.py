@@ -8,8 +8,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-IMAGE = "h int, w int, c int, data binary"
+IMAGE = T.StructType([T.StructField("h", T.IntegerType()), T.StructField("w", T.IntegerType()), T.StructField("c", T.IntegerType()), T.StructField("data", T.BinaryType())])
 
 # The six views of a composed camera frame, as shares of its width and height (x1, y1, x2, y2).
 VIEWS = {
@@ -134,7 +135,7 @@ def view(c: Column, name: str) -> Column:
     return _udf(cut)(c)
 
 
-@F.pandas_udf("array<float>")
+@F.pandas_udf(T.ArrayType(T.FloatType()))
 def scaled(frames: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
     """Bytes to x / 255 * 2 - 1, flat."""
     for f in frames:

@@ -41,38 +41,33 @@ def literal_statistics(stats: DataFrame) -> dict[str, dict[str, list[float]]]:
     return {r["key"]: {c: list(r[c]) for c in ("mean", "std", "q01", "q99") if c in r and r[c] is not None} for r in stats.collect()}
 
 
-def normalise(stats: Mapping[str, Mapping[str, Sequence[float]]], quantiles: bool = False, nested: Sequence[str] = ("actions",)) -> Transform:
-    """Scales the columns that have statistics; columns in `nested` hold rows of vectors."""
+def _scaler(s: Mapping[str, Sequence[float]], quantiles: bool, inverse: bool):
+    if quantiles:
+        V.require_quantiles(list(s))
+        f, a, b = V.inverse_quantile_scale if inverse else V.quantile_scale, "q01", "q99"
+    else:
+        f, a, b = V.inverse_zscore if inverse else V.zscore, "mean", "std"
+    return lambda x: f(x, V.vector(s[a]), V.vector(s[b]))
+
 
+def _scaled(stats: Mapping[str, Mapping[str, Sequence[float]]], quantiles: bool, nested: Sequence[str], inverse: bool) -> Transform:
     def run(df: DataFrame) -> DataFrame:
-        for name, s in stats.items():
-            if name not in df.columns:
-                continue
-            if quantiles:
-                V.require_quantiles(list(s))
-                one = lambda x, s=s: V.quantile_scale(x, V.vector(s["q01"]), V.vector(s["q99"]))
-            else:
-                one = lambda x, s=s: V.zscore(x, V.vector(s["mean"]), V.vector(s["std"]))
+        for name in [n for n in stats if n in df.columns]:
+            one = _scaler(stats[name], quantiles, inverse)
             df = df.withColumn(name, F.transform(F.col(name), one) if name in nested else one(F.col(name)))
         return df
 
     return run
 
 
-def unnormalise(stats: Mapping[str, Mapping[str, Sequence[float]]], quantiles: bool = False, nested: Sequence[str] = ("actions",)) -> Transform:
-    def run(df: DataFrame) -> DataFrame:
-        for name, s in stats.items():
-            if name not in df.columns:
-                continue
-            if quantiles:
-                V.require_quantiles(list(s))
-                one = lambda x, s=s: V.inverse_quantile_scale(x, V.vector(s["q01"]), V.vector(s["q99"]))
-            else:
-                one = lambda x, s=s: V.inverse_zscore(x, V.vector(s["mean"]), V.vector(s["std"]))
-            df = df.withColumn(name, F.transform(F.col(name), one) if name in nested else one(F.col(name)))
-        return df
+def normalise(stats: Mapping[str, Mapping[str, Sequence[float]]], quantiles: bool = False, nested: Sequence[str] = ("actions",)) -> Transform:
+    """Scales the columns that have statistics; columns in `nested` hold rows of vectors."""
+    return _scaled(stats, quantiles, nested, False)
 
-    return run
+
+def unnormalise(stats: Mapping[str, Mapping[str, Sequence[float]]], quantiles: bool = False, nested: Sequence[str] = ("actions",)) -> Transform:
+    """Inverse of normalise."""
+    return _scaled(stats, quantiles, nested, True)
 
 
 def delta_actions(mask: Sequence[bool] | None) -> Transform:

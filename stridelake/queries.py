@@ -551,7 +551,7 @@ def chunk_broker(spark: SparkSession, sf: str) -> DataFrame:
     return user_steps(spark, sf).select("event_id", chunk.alias("chunk"), k.alias("k"))
 
 
-@query("WITH s AS (SELECT user_id, " + STEP_SQL + " AS step, epoch_us(ts) / 1e6 AS t FROM events) SELECT user_id, t, CAST(step // 5 AS BIGINT) AS chunk, CAST(step % 5 AS INTEGER) AS k, step % 5 = 0 AS asks FROM s")
+@query("WITH s AS (SELECT user_id, " + STEP_SQL + " AS step, epoch_us(ts) / 1e6 AS t FROM events) SELECT user_id, t, CAST(step // 5 AS BIGINT) AS chunk, CAST(step % 5 AS INTEGER) AS index, step % 5 = 0 AS asks FROM s")
 def chunk_broker_stateful(spark: SparkSession, sf: str) -> DataFrame:
     events = t(spark, sf, "events").select("user_id", seconds("ts").alias("t"), "event_id")
     return runner.over_table(events, machines.Broker(5), "user_id", ["t", "event_id"])

@@ -8,8 +8,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-ARRAY = "dtype string, shape array<int>, data binary"
+ARRAY = T.StructType([T.StructField("dtype", T.StringType()), T.StructField("shape", T.ArrayType(T.IntegerType())), T.StructField("data", T.BinaryType())])
 
 
 def packed(x: np.ndarray) -> dict:
@@ -24,7 +25,7 @@ def unpacked(v: dict) -> np.ndarray:
     return np.frombuffer(v["data"], np.dtype(v["dtype"])).reshape(tuple(v["shape"]))
 
 
-@F.pandas_udf("array<double>")
+@F.pandas_udf(T.ArrayType(T.DoubleType()))
 def _flat(dtype: pd.Series, data: pd.Series) -> pd.Series:
     return pd.Series([None if d is None else np.frombuffer(d, np.dtype(t)).astype(float).tolist() for t, d in zip(dtype, data, strict=True)])
 

@@ -56,11 +56,19 @@ def dataset(spark: SparkSession, ids: str | Sequence[str] | None, horizon: int,
 
 def fake_rows(spark: SparkSession, n: int, shapes: Mapping[str, int], integers: Sequence[str] = ()) -> DataFrame:
     """n rows whose values are hashes of (row, column, place): uniform in [-1, 1), or integers below 2048."""
+    def drawn(name: str):
+        return lambda k: F.pmod(F.xxhash64("index", F.lit(name), k), F.lit(1 << 30))
+
+    def whole(h):
+        return lambda k: F.pmod(h(k), F.lit(2048)).cast("int")
+
+    def real(h):
+        return lambda k: h(k) / float(1 << 29) - 1
+
     df = spark.range(n).withColumnRenamed("id", "index")
     for name, size in shapes.items():
-        h = lambda k, name=name: F.pmod(F.xxhash64("index", F.lit(name), k), F.lit(1 << 30))
-        place = F.sequence(F.lit(0), F.lit(size - 1))
-        df = df.withColumn(name, F.transform(place, lambda k, h=h: F.pmod(h(k), F.lit(2048)).cast("int")) if name in integers else F.transform(place, lambda k, h=h: h(k) / float(1 << 29) - 1))
+        value = (whole if name in integers else real)(drawn(name))
+        df = df.withColumn(name, F.transform(F.sequence(F.lit(0), F.lit(size - 1)), value))
     return df
 
 

@@ -36,17 +36,17 @@ class Broker:
     """Plays chunks step by step: a new chunk is asked for when none is held, and dropped after `horizon` steps."""
 
     horizon: int
-    output: str = "t double, chunk long, k int, asks boolean"
+    output: str = "t double, chunk long, index int, asks boolean"
 
     def start(self) -> dict:
-        return {"chunk": -1, "k": 0}
+        return {"chunk": -1, "index": 0}
 
     def step(self, state: dict, row: dict) -> list[dict]:
-        asks = state["chunk"] < 0 or state["k"] == self.horizon
+        asks = state["chunk"] < 0 or state["index"] == self.horizon
         if asks:
-            state.update(chunk=state["chunk"] + 1, k=0)
-        state["k"] += 1
-        return [{"t": row["t"], "chunk": state["chunk"], "k": state["k"] - 1, "asks": asks}]
+            state.update(chunk=state["chunk"] + 1, index=0)
+        state["index"] += 1
+        return [{"t": row["t"], "chunk": state["chunk"], "index": state["index"] - 1, "asks": asks}]
 
 
 @dataclass
