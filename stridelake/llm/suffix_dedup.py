@@ -33,9 +33,9 @@ from pyspark.sql import functions as F
 
 from stridelake.llm.common import BASE, INVERSE, materialize, mix64, powers, prepare, read, run_hashes, small_or_shuffled, text_bytes
 
-LENGTH, GRAM = 400, 32
+LENGTH, GRAM = 400, 100
 #: Bytes of a shard, and contexts of an anchor that one shard takes at most, about.
-SHARD, HOT = 2 << 20, 4000
+SHARD, HOT = 2 << 20, 6000
 #: Windows that are hashed at once.
 PIECE = 1 << 20
 SEPARATOR = 255  # in no UTF-8 text
@@ -97,7 +97,7 @@ def suffix_array(data: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     key = np.zeros(n, np.uint64)
     for i in range(8):
         key = (key << np.uint64(8)) | padded[i : i + n]
-    order = np.argsort(key, kind="stable").astype(np.int64)
+    order = np.argsort(key)
     key = key[order]
     new = np.concatenate([[True], key[1:] != key[:-1]])
     heads = np.maximum.accumulate(np.where(new, np.arange(n), 0))
@@ -114,7 +114,7 @@ def suffix_array(data: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
         at = order[slots]
         group = rank[at]
         by = ((group.astype(np.uint64)) << np.uint64(32)) | (rank[at + step] + 1).astype(np.uint64)
-        inside = np.argsort(by, kind="stable")
+        inside = np.argsort(by)
         by = by[inside]
         order[slots] = at[inside]
         fresh = np.concatenate([[True], by[1:] != by[:-1]])
@@ -161,13 +161,17 @@ def common_prefixes(data: np.ndarray, order: np.ndarray, rank: np.ndarray, most:
     return out
 
 
-def repeated_windows(contexts: list[bytes], windows: list[int], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of a shard: the windows' positions, whether each occurs at another one too, and their positions in the
-    joined text where each context starts."""
-    joined = np.frombuffer(b"".join(c + b"\xff" for c in contexts), np.uint8)
+def window_places(contexts: list[bytes], windows: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of a shard's windows in its joined text, and where each context starts there."""
     starts = np.cumsum([0] + [len(c) + 1 for c in contexts])[:-1]
     counts = np.array(windows)
-    at = np.repeat(starts - np.concatenate([[0], np.cumsum(counts)[:-1]]), counts) + np.arange(counts.sum())
+    return np.repeat(starts - np.concatenate([[0], np.cumsum(counts)[:-1]]), counts) + np.arange(counts.sum()), starts
+
+
+def repeated_windows(contexts: list[bytes], windows: list[int], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of a shard: the windows' positions, whether each occurs at another one too, and where contexts start."""
+    joined = np.frombuffer(b"".join(c + b"\xff" for c in contexts), np.uint8)
+    at, starts = window_places(contexts, windows)
     order, rank = suffix_array(joined, length)
     shared = common_prefixes(joined, order, rank, length)
     twice = np.zeros(len(joined) + 1, bool)
@@ -220,7 +224,7 @@ def _merge_hot(hot: DataFrame, length: int) -> DataFrame:
 
     def lists(table: pa.Table) -> pa.Table:
         contexts = table.column("context").to_pylist()
-        at, _, _ = repeated_windows(contexts, table.column("windows").to_pylist(), length)
+        at, _ = window_places(contexts, table.column("windows").to_pylist())
         mine = np.unique(_window_hashes(contexts, at, length))
         part = (mine["a"] >> np.uint64(54)).astype(np.int64)
         cut = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1], [True]]))
