@@ -30,7 +30,7 @@ SEQUENCE, SEPARATOR, VOCABULARY = 2048, 0, "word_bpe_49k.json"
 #: Pieces that one task packs, about.
 GROUP_PIECES = 50_000
 #: Entries of a generation of a worker's word caches.
-CACHE_WORDS = 350_000
+CACHE_WORDS = 220_000
 #: Characters for which lower() and split() do what the vocabulary's normaliser does; texts with any other take the plain path.
 UNUSUAL = re.compile(r"[^\t-\r\x20-\x7e\xa0-įı-ſ]|<\|")
 
