@@ -179,3 +179,39 @@ def converted(spark: SparkSession, files: DataFrame, reader: Callable[[bytes], l
                 yield pd.DataFrame(reader(content), columns=names)
 
     return files.select("content").mapInPandas(run, schema)
+
+
+#: Shapes of a robot's rows, by preset.
+SHAPES = {
+    "dual_arm_14": {"state": 14, "actions": 14},
+    "single_arm_8": {"joints": 7, "gripper": 1, "actions": 8},
+    "single_arm_7": {"joints": 6, "gripper": 1, "actions": 7},
+    "two_hands_first": {"state": 48, "actions": 48},
+    "two_hands_second": {"state": 62, "actions": 62},
+}
+
+
+def robot_rows(spark: SparkSession, name: str, n: int, horizon: int = 1, prompt: str = "do something") -> DataFrame:
+    """n made-up rows of a robot, with chunks of `horizon` equal actions."""
+    df = fake_rows(spark, n, SHAPES[name]).withColumn("prompt", F.lit(prompt))
+    return df.withColumn("actions", F.array_repeat("actions", horizon))
+
+
+def fetched(spark: SparkSession, url: str, cache: str, force: bool = False) -> str:
+    """A copy of a remote file in the cache folder, made under a partial name and then renamed; a path without
+    a scheme is checked and returned. For files that aren't read as tables, such as vocabularies."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    source = jvm.org.apache.hadoop.fs.Path(url)
+    fs = source.getFileSystem(conf)
+    if "://" not in url:
+        if not fs.exists(source):
+            raise FileNotFoundError(url)
+        return url
+    target = jvm.org.apache.hadoop.fs.Path(f"{cache.rstrip('/')}/{url.split('://', 1)[1]}")
+    to = target.getFileSystem(conf)
+    if force or not to.exists(target):
+        partial = target.suffix(".partial")
+        jvm.org.apache.hadoop.fs.FileUtil.copy(fs, source, to, partial, False, True, conf)
+        to.delete(target, True)
+        to.rename(partial, target)
+    return target.toString()

@@ -87,3 +87,23 @@ def test_stale_and_missing_library(spark):
     assert [r["s"] for r in got] == [True, False]
     with pytest.raises(readers.MissingLibrary):
         readers.need("h5py_not_here")
+
+
+def test_robot_rows_run_through_their_presets(spark):
+    from stridelake.plans.presets import PRESETS
+
+    for name, make in PRESETS.items():
+        cfg = make()
+        fed = cfg.training(readers.robot_rows(spark, name, 3, 2), skip_stats=True)
+        row = fed.first()
+        assert len(row["state"]) == 32 and [len(a) for a in row["actions"]] == [32, 32]
+        assert len(cfg.reply(fed).first()["actions"]) == 2
+
+
+def test_fetched(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("x")
+    got = readers.fetched(spark, f"file://{tmp_path}/a.txt", str(tmp_path / "cache"))
+    assert open(got.removeprefix("file:")).read() == "x"
+    assert readers.fetched(spark, str(tmp_path / "a.txt"), "unused") == str(tmp_path / "a.txt")
+    with pytest.raises(FileNotFoundError):
+        readers.fetched(spark, str(tmp_path / "none"), "unused")
