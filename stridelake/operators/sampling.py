@@ -36,7 +36,7 @@ def first_rows(df: DataFrame, n: int, seed: int, *keys: str) -> DataFrame:
     return df.orderBy(draw(seed, *keys), *keys).limit(n)
 
 
-def batched(df: DataFrame, size: int, seed: int, keys: Sequence[str], shards: int = 1, drop_last: bool = True) -> DataFrame:
+def batched(df: DataFrame, size: int, seed: int, keys: Sequence[str], shards: int = 64, drop_last: bool = True) -> DataFrame:
     """shard, batch and slot of rows in a drawn order. Rows are dealt to shards by a hash, and each shard is
     ordered and batched by itself, so with several shards no task sees all rows. Batches that aren't full
     are dropped unless they are wanted."""

@@ -11,16 +11,49 @@ from pyspark.sql import Window as W
 QUANTILES = (0.01, 0.99)
 
 
-def vector_statistics(df: DataFrame, columns: Sequence[str], exact: bool = True, accuracy: int = 100_000) -> DataFrame:
+def refined_quantiles(long: DataFrame, keys: Sequence[str], value: str, quantiles: Sequence[float], bins: int = 4096) -> DataFrame:
+    """keys and q (an array): exact quantiles, linear between ranks, of any number of rows.
+
+    Three passes with bounded memory: the range of each group; counts of its equal bins, which tell the bins
+    that hold the ranks; and the distinct values of those bins alone, with their counts."""
+    on = list(keys)
+    edges = long.where(F.col(value).isNotNull()).groupBy(*on).agg(F.min(value).alias("_low"), F.max(value).alias("_high"), F.count(value).alias("_n"))
+    width = (F.col("_high") - F.col("_low")) / bins
+    place = F.when(width > 0, F.least(F.floor((F.col(value) - F.col("_low")) / width), F.lit(bins - 1))).otherwise(0).cast("int")
+    placed = long.where(F.col(value).isNotNull()).join(edges, on).withColumn("_bin", place)
+    counts = placed.groupBy(*on, "_bin").agg(F.count("*").alias("_c"), F.first("_n").alias("_n"))
+    upto = W.partitionBy(*on).orderBy("_bin").rowsBetween(W.unboundedPreceding, -1)
+    counts = counts.withColumn("_before", F.coalesce(F.sum("_c").over(upto), F.lit(0)))
+    ranks = F.array(*[r for q in quantiles for r in (F.floor(F.col("_n") * q - q), F.ceil(F.col("_n") * q - q))])
+    inside = F.exists(ranks, lambda r: (r >= F.col("_before")) & (r < F.col("_before") + F.col("_c")))
+    held = placed.join(counts.where(inside).select(*on, "_bin", "_before"), [*on, "_bin"])
+    values = held.groupBy(*on, "_bin", "_before", "_n", value).agg(F.count("*").alias("_c"))
+    within = W.partitionBy(*on, "_bin").orderBy(value).rowsBetween(W.unboundedPreceding, -1)
+    values = values.withColumn("_first", F.col("_before") + F.coalesce(F.sum("_c").over(within), F.lit(0)))
+    at = lambda r: F.max(F.when((r >= F.col("_first")) & (r < F.col("_first") + F.col("_c")), F.col(value)))
+    pairs = [(at(F.floor(F.col("_n") * q - q)).alias(f"_a{i}"), at(F.ceil(F.col("_n") * q - q)).alias(f"_b{i}")) for i, q in enumerate(quantiles)]
+    rows = values.groupBy(*on, "_n").agg(*[c for pair in pairs for c in pair])
+    share = lambda q: F.col("_n") * q - q - F.floor(F.col("_n") * q - q)
+    return rows.select(*on, F.array(*[F.col(f"_a{i}") + share(q) * (F.col(f"_b{i}") - F.col(f"_a{i}")) for i, q in enumerate(quantiles)]).alias("q"))
+
+
+def vector_statistics(df: DataFrame, columns: Sequence[str], method: str = "exact", accuracy: int = 100_000) -> DataFrame:
     """key, dim, count, mean, std (population), min, max, q01, q99: a row per column and dimension.
 
-    Partial aggregation per (key, dim). Quantiles are exact (linear between ranks), or approximate with
-    memory of that accuracy for very many rows; everything else is exact and independent of partitioning.
-    Vectors of one column should have one length."""
+    Partial aggregation per (key, dim). Quantiles by method: `exact` in one pass, with the distinct values of a
+    dimension in memory; `refined` exact in bounded memory, for tables of any size; `approx` in one pass with
+    memory of the accuracy. Everything else is exact, and nothing depends on partitioning. Vectors of one
+    column should have one length."""
+    if method not in ("exact", "refined", "approx"):
+        raise ValueError(f"unknown method {method}")
     elements = F.explode(F.array(*[F.struct(F.lit(c).alias("key"), F.col(c).cast("array<double>").alias("x")) for c in columns]))
     long = df.select(elements.alias("e")).select("e.key", F.posexplode("e.x").alias("dim", "x"))
-    q = F.percentile("x", F.array(*[F.lit(v) for v in QUANTILES])) if exact else F.percentile_approx("x", list(QUANTILES), accuracy)
-    agg = long.groupBy("key", "dim").agg(F.count("x").alias("count"), F.avg("x").alias("mean"), F.stddev_pop("x").alias("std"), F.min("x").alias("min"), F.max("x").alias("max"), q.alias("q"))
+    plain = [F.count("x").alias("count"), F.avg("x").alias("mean"), F.stddev_pop("x").alias("std"), F.min("x").alias("min"), F.max("x").alias("max")]
+    if method == "refined":
+        agg = long.groupBy("key", "dim").agg(*plain).join(refined_quantiles(long, ["key", "dim"], "x", QUANTILES), ["key", "dim"], "left")
+    else:
+        q = F.percentile("x", F.array(*[F.lit(v) for v in QUANTILES])) if method == "exact" else F.percentile_approx("x", list(QUANTILES), accuracy)
+        agg = long.groupBy("key", "dim").agg(*plain, q.alias("q"))
     return agg.select("key", "dim", "count", "mean", "std", "min", "max", F.get("q", F.lit(0)).alias("q01"), F.get("q", F.lit(1)).alias("q99"))
 
 

@@ -77,6 +77,12 @@ def vector_norm_stats(spark: SparkSession, sf: str) -> DataFrame:
     return s.select("key", "dim", "count", *[r6(c).alias(c) for c in ("mean", "std", "min", "max", "q01", "q99")])
 
 
+@query("""SELECT 'x' AS key, dim, round(quantile_cont(x, 0.01), 6) + 0.0 AS q01, round(quantile_cont(x, 0.99), 6) + 0.0 AS q99 FROM (""" + E64 + ") GROUP BY dim")
+def refined_norm_quantiles(spark: SparkSession, sf: str) -> DataFrame:
+    s = stats.vector_statistics(vectors64(spark, sf), ["x"], "refined")
+    return s.select("key", "dim", r6("q01").alias("q01"), r6("q99").alias("q99"))
+
+
 @query("""WITH e AS (""" + E64 + """), s AS (SELECT dim, avg(x) AS mean, stddev_pop(x) AS std FROM e GROUP BY dim)
 SELECT vec_id, e.dim, round((x - mean) / (std + 1e-6), 6) + 0.0 AS x FROM e JOIN s ON e.dim = s.dim""")
 def zscore_vectors(spark: SparkSession, sf: str) -> DataFrame:

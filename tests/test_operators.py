@@ -65,6 +65,22 @@ def test_statistics_do_not_depend_on_partitions(spark):
         stats.packed_statistics(stats.vector_statistics(df.limit(1), ["v"])).collect()
 
 
+@pytest.mark.parametrize("bins", [1, 7, 4096])
+def test_refined_quantiles_are_exact(spark, bins):
+    rng = np.random.default_rng(5)
+    groups = {0: rng.normal(size=500), 1: np.round(rng.normal(size=300), 1), 2: np.array([3.0]), 3: np.full(50, 2.5), 4: np.array([1.0, 2.0])}
+    df = spark.createDataFrame([(g, float(v)) for g, x in groups.items() for v in x] + [(0, None)], "g int, x double")
+    got = {r["g"]: r["q"] for r in stats.refined_quantiles(df, ["g"], "x", (0.01, 0.5, 0.99), bins).collect()}
+    assert all(got[g] == pytest.approx(np.quantile(x, [0.01, 0.5, 0.99])) for g, x in groups.items())
+
+
+def test_statistics_methods_agree(spark):
+    rng = np.random.default_rng(6)
+    df = spark.createDataFrame([(rng.normal(size=3).tolist(),) for _ in range(200)], "v array<double>")
+    a, b = ({r["dim"]: r for r in stats.vector_statistics(df, ["v"], m).collect()} for m in ("exact", "refined"))
+    assert all(a[d]["q01"] == pytest.approx(b[d]["q01"]) and a[d]["q99"] == pytest.approx(b[d]["q99"]) for d in range(3))
+
+
 def test_weights_equal_exploded_chunks(spark):
     for length in (1, 2, 5, 9):
         for horizon in (1, 3, 6):
@@ -118,8 +134,8 @@ def test_lookups(spark):
 
 def test_samples_and_batches(spark):
     df = spark.range(100)
-    a = sampling.batched(df.repartition(3), 8, 1, ["id"]).collect()
-    b = sampling.batched(df.repartition(7), 8, 1, ["id"]).collect()
+    a = sampling.batched(df.repartition(3), 8, 1, ["id"], shards=1).collect()
+    b = sampling.batched(df.repartition(7), 8, 1, ["id"], shards=1).collect()
     assert {tuple(r) for r in a} == {tuple(r) for r in b} and len(a) == 96
     shares = [sampling.rank_share(df, 4, r, 1, 0, "id").count() for r in range(4)]
     assert sum(shares) == 100 and min(shares) > 10
