@@ -204,9 +204,7 @@ def read_back(nodes: DataFrame, path: str | None = None) -> DataFrame:
     Each conversation is what its last node attends to, and that node."""
     path = path or vocabulary_path()
 
-    def run(table: pa.Table) -> pa.Table:
-        enc = encoding(path)
-        rows = sorted(table.to_pylist(), key=lambda r: r["place"])
+    def leaves(enc, rows: list[dict]) -> list[tuple]:
         ids = np.frombuffer(b"".join(r["ids"] for r in rows), "<u4")
         mask = np.zeros(len(ids) + 1, bool)
         for r in rows:
@@ -226,10 +224,31 @@ def read_back(nodes: DataFrame, path: str | None = None) -> DataFrame:
             turns = parse(formatted)
             digest = hashlib.sha256("".join(f"{role}\n{text}\n" for role, text in turns).encode())
             out.append((r["node"], len(turns), digest.hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest(), len(formatted)))
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc = encoding(path)
         kinds = [pa.binary(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
-        return pa.Table.from_arrays([pa.array([o[i] for o in out], k) for i, k in enumerate(kinds)], ["leaf", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
+        names = ["leaf", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
+        held: list[dict] = []
+
+        def table(out: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], k) for i, k in enumerate(kinds)], names)
 
-    return nodes.groupBy("block_id").applyInArrow(run, "leaf binary, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+        for batch in batches:
+            out = []
+            for r in batch.to_pylist():
+                if held and r["block_id"] != held[0]["block_id"]:
+                    out += leaves(enc, held)
+                    held = []
+                held.append(r)
+            yield table(out)
+        if held:
+            yield table(leaves(enc, held))
+
+    rows = nodes.select("block_id", "place", "node", "start", "length", "position", "attend", "loss_start", "loss_end", "ids", "is_leaf")
+    ordered = rows.repartition("block_id").sortWithinPartitions("block_id", "place")
+    return ordered.mapInArrow(run, "leaf binary, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
 
 
 def format_chats(rows: DataFrame, path: str | None = None, block_tokens: int = BLOCK_TOKENS) -> tuple[DataFrame, DataFrame]:
