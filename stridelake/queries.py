@@ -603,6 +603,32 @@ def replay_due_times(spark: SparkSession, sf: str) -> DataFrame:
     return playback.due_times(user_steps(spark, sf), "step", F.lit(100.0), 0.02).select("event_id", F.round("due", 6).alias("due"))
 
 
+def event_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The events as a stream, with ts as a timestamp, which watermarks need."""
+    schema = t(spark, sf, "events").schema
+    raw = spark.readStream.schema(schema).parquet(f"{sf}/events.parque[t]")  # a pattern may also be a single file
+    return raw.withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+@query(SQL["interval_rates"])
+def stream_interval_rates(spark: SparkSession, sf: str) -> DataFrame:
+    rates = runner.interval_rates_stream(event_stream(spark, sf), "ts", 3600, "1 hour", "event_type")
+    out = runner.drained(rates, "stream_interval_rates", complete=True)
+    return out.select(F.col("start").cast("long").alias("start"), "event_type", "n", F.round("rate", 6).alias("rate"))
+
+
+@query(SQL["chunk_broker_stateful"])
+def stream_chunk_broker(spark: SparkSession, sf: str) -> DataFrame:
+    events = event_stream(spark, sf).select("user_id", seconds("ts").alias("t"), "event_id")
+    return runner.drained(runner.over_stream(events, machines.Broker(5), "user_id", ["t", "event_id"]), "stream_chunk_broker")
+
+
+@query("SELECT DISTINCT user_id, event_type FROM events")
+def stream_without_repeats(spark: SparkSession, sf: str) -> DataFrame:
+    once = runner.without_repeats_stream(event_stream(spark, sf).select("user_id", "event_type", "ts"), ["user_id", "event_type"], "ts", "9999 days")
+    return runner.drained(once, "stream_without_repeats").select("user_id", "event_type")
+
+
 @query()
 def relay_control(spark: SparkSession, sf: str) -> DataFrame:
     e = t(spark, sf, "events").select("user_id", (F.col("event_id") * 0.001).alias("t"), "event_id", F.when(F.col("event_type") == "click", F.col("value")).alias("command"), F.when(F.col("event_type") != "click", F.col("value")).alias("measured"))

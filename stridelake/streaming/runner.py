@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import json
+import tempfile
+import uuid
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -62,6 +64,28 @@ def over_stream(df: DataFrame, machine, key: str, order: Sequence[str]) -> DataF
     return df.groupBy(key).applyInPandasWithState(run, schema, "state string", "append", "NoTimeout")
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below spark.checkpoint.dir, which all executors share; a temporary one where that is unset."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="stridelake-")
+    return f"{root.rstrip('/')}/stridelake/{name}-{uuid.uuid4().hex}"
+
+
+def drained(stream: DataFrame, name: str, complete: bool = False) -> DataFrame:
+    """All rows that a stream makes of what its source holds now, stored as Parquet in the shared folder.
+
+    Batches are written by number, so one that is repeated after a failure replaces itself. complete: the
+    stream's aggregates are written as a whole after each batch."""
+    spark = stream.sparkSession
+    folder = shared_folder(spark, name)
+
+    def store(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{folder}/out" if complete else f"{folder}/out/batch={number}")
+
+    q = stream.writeStream.foreachBatch(store).option("checkpointLocation", f"{folder}/state").outputMode("complete" if complete else "append").trigger(availableNow=True).start()
+    q.awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{folder}/out").select(*stream.columns)
+
+
 def newest_of_batch(df: DataFrame, key: str, ts: str) -> DataFrame:
     """A queue of one: each key's newest row of a micro-batch. For foreachBatch, or for a table."""
     rest = [c for c in df.columns if c != key]
