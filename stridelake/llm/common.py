@@ -83,6 +83,20 @@ def small_or_shuffled(df: DataFrame, rows: int | None = None, limit: int = BROAD
     return F.broadcast(df) if n <= limit else df.hint("shuffle_hash")
 
 
+def most_frequent(counts: DataFrame, column: str, most: int) -> DataFrame:
+    """The rows of a stored table whose count reaches the smallest cut-off that leaves at most `most` of them.
+    The cut-off comes from a histogram of the counts; counts of 1000 and more fall into steps of 5 %."""
+    c = F.col(column)
+    step = F.when(c < 1000, c).otherwise(F.floor(F.pow(F.lit(1.05), F.floor(F.log(1.05, c)))))
+    total, cut = 0, None
+    for r in sorted(counts.groupBy(step.alias("n")).count().collect(), key=lambda r: -r["n"]):
+        total += r["count"]
+        if total > most:
+            break
+        cut = r["n"]
+    return counts.where(F.lit(False)) if cut is None else counts.where(c >= cut)
+
+
 def text_bytes(column: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of a text column in one array, and n + 1 offsets; null counts as empty."""
     arr = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column

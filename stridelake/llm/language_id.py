@@ -14,16 +14,18 @@ text for the fold; ties go to the first language by name; repeated rows and furt
 
 from __future__ import annotations
 
+import itertools
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stridelake.llm.common import materialize, prepare, read
+from stridelake.llm.common import materialize, most_frequent, prepare, read
 
 FIT_ROWS, MODEL_WORDS, MODEL_GRAMS, LONGEST, SMOOTH = 20_000, 150_000, 100_000, 4, 0.1
 #: Words of a worker's cache.
@@ -49,10 +51,18 @@ def grams(word: str, n: int) -> list[str]:
     return [marked[i : i + n] for i in range(len(marked) - n + 1)]
 
 
-def fit(labelled: DataFrame) -> tuple[list[str], list[tuple[int, str, np.ndarray]]]:
-    """Languages, and for each word (kind 0) and n-gram (kind n) its log frequency per language.
+@dataclass
+class Model:
+    """For each word (kind 0) and n-gram (kind n): its log frequency in each language."""
 
-    labelled: text, lang. Counts are summed on the executors; only the most frequent entries come back."""
+    langs: list[str]
+    kinds: np.ndarray
+    grams: list[str]
+    rows: np.ndarray
+
+
+def fit(labelled: DataFrame) -> Model:
+    """labelled: text, lang. Counts are summed on the executors; only the most frequent entries come back."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words: dict[str, Counter] = defaultdict(Counter)
@@ -74,59 +84,73 @@ def fit(labelled: DataFrame) -> tuple[list[str], list[tuple[int, str, np.ndarray
     counted = materialize(labelled.mapInArrow(count, "kind int, gram string, lang string, n long").groupBy("kind", "gram", "lang").agg(F.sum("n").alias("n")), "language-counts")
     totals = {(r.kind, r.lang): (r.total, r.distinct) for r in counted.groupBy("kind", "lang").agg(F.sum("n").alias("total"), F.count("*").alias("distinct")).collect()}
     langs = sorted({lang for _, lang in totals})
-    entries = counted.groupBy("kind", "gram").agg(F.sum("n").alias("all"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by")).where("all > 1 OR kind = 1")
-    model = []
-    for which, most in ((F.col("kind") == 0, MODEL_WORDS), (F.col("kind") > 0, MODEL_GRAMS)):
-        for r in entries.where(which).orderBy(F.col("all").desc(), "kind", "gram").limit(most).toLocalIterator():
-            freq = [np.log((r.by.get(lang, 0) + SMOOTH) / (totals.get((r.kind, lang), (0, 1))[0] + SMOOTH * totals.get((r.kind, lang), (0, 1))[1] + 1)) for lang in langs]
-            model.append((r.kind, r.gram, np.array(freq, np.float32)))
-    return langs, model
+    if not langs:
+        return Model([], np.zeros(0, np.int64), [], np.zeros((0, 0), np.float32))
+    by = F.array(*[F.sum(F.when(F.col("lang") == v, F.col("n")).otherwise(0)) for v in langs])
+    entries = materialize(counted.groupBy("kind", "gram").agg(F.sum("n").alias("all"), by.alias("by")).where("all > 1 OR kind = 1"), "language-entries")
+    parts = [most_frequent(entries.where(which), "all", most).select("kind", "gram", "by").toArrow() for which, most in ((F.col("kind") == 0, MODEL_WORDS), (F.col("kind") > 0, MODEL_GRAMS))]
+    table = pa.concat_tables(parts).sort_by([("kind", "ascending"), ("gram", "ascending")]).combine_chunks()
+    kinds = table.column("kind").to_numpy().astype(np.int64)
+    counts = np.array(table.column("by").combine_chunks().flatten().to_numpy(), np.float64).reshape(len(kinds), len(langs))
+    seen = np.array([[totals.get((k, v), (0, 1)) for v in langs] for k in range(LONGEST + 1)], np.float64)
+    frequency = (counts + SMOOTH) / (seen[kinds, :, 0] + SMOOTH * seen[kinds, :, 1] + 1)
+    return Model(langs, kinds, table.column("gram").to_pylist(), np.log(frequency).astype(np.float32))
 
 
 class Scorer:
+    """Scores texts; remembers the rows of unseen words until CACHE_WORDS are held."""
+
     def __init__(self, langs: list[str], known: dict[str, int], tables: list[dict[str, int]], rows: np.ndarray) -> None:
-        self.langs, self.known, self.tables, self.fixed = langs, known, tables, rows
-        self.floor = rows.min(axis=0) if len(rows) else np.zeros(len(langs), np.float32)
+        self.langs, self.known, self.tables = langs, known, tables
+        self.fixed = np.concatenate([rows, np.zeros((1, len(langs)), np.float32)])  # the last one for words without any n-gram
         self.reset()
 
     def reset(self) -> None:
-        self.index, self.rows, self.n = dict(self.known), np.concatenate([self.fixed, np.zeros((CACHE_WORDS, self.fixed.shape[1]), np.float32)]), len(self.fixed)
+        self.index, self.n = dict(self.known), len(self.fixed)
+        self.rows = np.concatenate([self.fixed, np.zeros((CACHE_WORDS, len(self.langs)), np.float32)])
 
-    def unseen(self, word: str) -> np.ndarray:
+    def longest(self, word: str) -> list[int]:
+        """Rows of the word's longest n-grams that were seen."""
         for n in range(LONGEST, 0, -1):
-            if found := [i for g in grams(word, n) if (i := self.tables[n].get(g)) is not None]:
-                return self.fixed[found].mean(axis=0)
-        return np.zeros(len(self.langs), np.float32)
-
-    def add(self, word: str) -> int:
-        self.rows[self.n] = self.unseen(word)
-        self.index[word] = self.n
-        self.n += 1
-        return self.n - 1
+            table = self.tables[n]
+            if found := [table[g] for g in grams(word, n) if g in table]:
+                return found
+        return [len(self.fixed) - 1]
+
+    def learn(self, words: list[str]) -> None:
+        found = [self.longest(w) for w in words]
+        sizes = np.array([len(f) for f in found])
+        flat = np.fromiter(itertools.chain.from_iterable(found), np.int64, int(sizes.sum()))
+        sums = np.add.reduceat(self.fixed[flat], np.cumsum(sizes) - sizes, axis=0)
+        self.rows[self.n : self.n + len(words)] = sums / sizes[:, None]
+        self.index.update(zip(words, range(self.n, self.n + len(words)), strict=True))
+        self.n += len(words)
 
     def __call__(self, text: str | None) -> tuple[str, float]:
         words = LETTERS.findall(text.lower()) if text else []
         if not words or not self.langs:
             return UNKNOWN, 0.0
-        total, index = np.zeros(len(self.langs), np.float64), self.index
+        total = np.zeros(len(self.langs), np.float64)
         for i in range(0, len(words), 50_000):
             some = words[i : i + 50_000]
             if self.n + len(some) > len(self.rows):
                 self.reset()
-                index = self.index
-            at = np.fromiter((index[w] if w in index else self.add(w) for w in some), np.int64, len(some))
+            if missing := list(dict.fromkeys(itertools.filterfalse(self.index.__contains__, some))):
+                self.learn(missing)
+            at = np.fromiter(map(self.index.__getitem__, some), np.int64, len(some))
             total += self.rows[at].sum(axis=0, dtype=np.float64)
         p = np.exp((total - total.max()) / max(1.0, len(words) / 10))
         best = int(total.argmax())
         return self.langs[best], float(p[best] / p.sum())
 
 
-def predict(docs: DataFrame, langs: list[str], model: list[tuple[int, str, np.ndarray]]) -> DataFrame:
+def predict(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, lang_pred, score for every row of docs (doc_id, text)."""
     spark = prepare(docs.sparkSession)
-    kinds = [{g: i for i, (k, g, _) in enumerate(model) if k == n} for n in range(LONGEST + 1)]
-    rows = np.array([v for *_, v in model], np.float32).reshape(len(model), len(langs))
-    shared = spark.sparkContext.broadcast((langs, kinds[0], kinds, rows))
+    kinds: list[dict[str, int]] = [{} for _ in range(LONGEST + 1)]
+    for i, (k, g) in enumerate(zip(model.kinds.tolist(), model.grams, strict=True)):
+        kinds[k][g] = i
+    shared = spark.sparkContext.broadcast((model.langs, kinds[0], kinds, model.rows))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = Scorer(*shared.value)
@@ -139,6 +163,6 @@ def predict(docs: DataFrame, langs: list[str], model: list[tuple[int, str, np.nd
 
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    langs, model = fit(hash_sample(docs.where((fold("doc_id", 3) != 1) & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text", "lang"), "doc_id", FIT_ROWS).select("text", "lang"))
-    found = predict(docs, langs, model)
+    model = fit(hash_sample(docs.where((fold("doc_id", 3) != 1) & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text", "lang"), "doc_id", FIT_ROWS).select("text", "lang"))
+    found = predict(docs, model)
     return found.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stridelake.llm.common import materialize, prepare, read, slices, small_or_shuffled, word_hashes
+from stridelake.llm.common import materialize, most_frequent, prepare, read, slices, small_or_shuffled, word_hashes
 from stridelake.llm.language_id import fold
 
 VOCABULARY, BIGRAMS = 1 << 15, 1 << 20
@@ -79,18 +79,6 @@ def counted(docs: DataFrame, keys) -> DataFrame:
     return materialize(parts.groupBy("key").agg(F.sum("target").alias("target"), F.sum("background").alias("background")), "lm-counts")
 
 
-def most_frequent(counts: DataFrame, most: int) -> DataFrame:
-    """The rows of counts whose background count reaches the smallest cut-off that leaves at most `most` of them."""
-    steps = counts.groupBy(F.when(F.col("background") < 1000, F.col("background")).otherwise(F.floor(F.pow(F.lit(1.05), F.floor(F.log(1.05, F.col("background")))))).alias("n")).count().collect()
-    total, cut = 0, None
-    for r in sorted(steps, key=lambda r: -r["n"]):
-        total += r["count"]
-        if total > most:
-            break
-        cut = r["n"]
-    return counts.where(F.lit(False)) if cut is None else counts.where(F.col("background") >= cut)
-
-
 class Vocabulary:
     """Ids of words by their hash: 0 for others, then by sorted hash; `size` is one more than the words."""
 
@@ -117,7 +105,7 @@ def fit(docs: DataFrame, vocabulary: int = VOCABULARY, bigrams: int = BIGRAMS) -
     """Both models, from docs (text, target)."""
     spark = prepare(docs.sparkSession)
     words = counted(docs, lambda row, h: (np.arange(len(h)), h.view(np.int64)))
-    kept = most_frequent(words, vocabulary).toArrow().to_pandas().sort_values("key")
+    kept = most_frequent(words, "background", vocabulary).toArrow().to_pandas().sort_values("key")
     totals = words.agg(F.sum("target"), F.sum("background")).first()
     total = np.array([totals[0] or 0, totals[1] or 0], np.float64)
     vocab = Vocabulary(kept["key"].to_numpy())
@@ -136,7 +124,7 @@ def fit(docs: DataFrame, vocabulary: int = VOCABULARY, bigrams: int = BIGRAMS) -
     history = np.zeros((vocab.size + 1, 2))
     sums = both.groupBy(before.alias("h")).agg(F.sum("target").alias("t"), F.sum("background").alias("b")).toArrow().to_pandas()  # a row per word of the vocabulary
     history[sums["h"].to_numpy()] = sums[["t", "b"]].to_numpy()
-    table = most_frequent(both, bigrams).toArrow().to_pandas().sort_values("key")
+    table = most_frequent(both, "background", bigrams).toArrow().to_pandas().sort_values("key")
     key = table["key"].to_numpy()
     share = table[["target", "background"]].to_numpy() / np.maximum(history[key // (vocab.size + 1)], 1)
     return {"vocabulary": vocab, "unigram": unigram.astype(np.float32), "seen": history > 0, "key": key, "share": share.astype(np.float32)}

@@ -334,11 +334,11 @@ def test_language_held_out(spark, sf):
 
 def test_language_backs_off_to_n_grams(spark):
     rows = [("the thing there that this", "en")] * 3 + [("der dieser jeder wieder", "de")] * 3
-    langs, model = language_id.fit(frame(spark, rows, "text string, lang string"))
+    model = language_id.fit(frame(spark, rows, "text string, lang string"))
     docs = frame(spark, [(0, "thesis"), (1, "bieder"), (2, None), (3, "12 !?"), (4, "")])
-    got = {r["doc_id"]: r for r in language_id.predict(docs, langs, model).collect()}
+    got = {r["doc_id"]: r for r in language_id.predict(docs, model).collect()}
     assert [got[i]["lang_pred"] for i in range(5)] == ["en", "de", "und", "und", "und"] and 0 < got[0]["score"] <= 1
-    none = language_id.predict(docs, *language_id.fit(frame(spark, [], "text string, lang string")))
+    none = language_id.predict(docs, language_id.fit(frame(spark, [], "text string, lang string")))
     assert {r["lang_pred"] for r in none.collect()} == {"und"}
 
 
