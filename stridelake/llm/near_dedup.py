@@ -301,7 +301,7 @@ def _compare_large(members: DataFrame, feats: DataFrame, texts: DataFrame, simil
     each = drawn.select("bucket", F.posexplode("samples").alias("k", "value")).groupBy("bucket", "k", "value").agg(F.count("*").alias("n"))
     common = each.groupBy("bucket", "k").agg(F.max(F.struct("n", "value"))["value"].alias("value")).groupBy("bucket").agg(F.map_from_entries(F.collect_list(F.struct("k", "value"))).alias("common"))
     agree = F.size(F.filter(F.transform("samples", lambda x, i: x == F.element_at("common", i)), lambda x: x))
-    scored = drawn.join(F.broadcast(common), "bucket").withColumn("agree", agree)
+    scored = drawn.join(small_or_shuffled(materialize(common, "large-common")), "bucket").withColumn("agree", agree)
     hubs = None
     for h in range(HUBS):  # the best of each of a few random parts, which takes no sort of a bucket
         best = scored.where(F.pmod(F.xxhash64("digest", F.lit(4)), F.lit(HUBS)) == h).groupBy("bucket").agg(F.max(F.struct("agree", "digest"))["digest"].alias("digest"), F.max("shards").alias("shards"))
@@ -316,10 +316,10 @@ def _compare_large(members: DataFrame, feats: DataFrame, texts: DataFrame, simil
     settled = members.join(linked, members["digest"] == linked["node"]).join(of_hubs.groupBy("bucket").agg(F.max("label").alias("main")), "bucket").where("label = main").select("bucket", "digest")
     rest = materialize(members.join(settled, ["bucket", "digest"], "left_anti"), "large-rest")
     block = F.pmod(F.xxhash64("digest", F.lit(5)), F.greatest(F.lit(1), F.ceil(F.col("left") / half))).cast("int")
-    blocks = materialize(rest.join(F.broadcast(rest.groupBy("bucket").agg(F.sum("features").alias("left"))), "bucket").withColumn("block", block), "large-blocks")
+    blocks = materialize(rest.join(small_or_shuffled(materialize(rest.groupBy("bucket").agg(F.sum("features").alias("left")), "large-left")), "bucket").withColumn("block", block), "large-blocks")
     if blocks.isEmpty():
         return first
-    numbers = F.broadcast(blocks.groupBy("bucket").agg(F.max("block").alias("last")))
+    numbers = small_or_shuffled(materialize(blocks.groupBy("bucket").agg(F.max("block").alias("last")), "large-last"))
     a = members.join(numbers, "bucket").withColumn("block", F.explode(F.sequence(F.lit(0), "last"))).select("bucket", "shard", "block", "digest", F.lit(False).alias("expand"))
     b = blocks.drop("shard").withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1))).select("bucket", "shard", "block", "digest", F.lit(True).alias("expand"))
     both = a.unionByName(b).groupBy("bucket", "shard", "block", "digest").agg(F.max("expand").alias("expand"))
