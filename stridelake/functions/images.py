@@ -10,6 +10,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stridelake.workers import importable
+
 IMAGE = T.StructType([T.StructField("h", T.IntegerType()), T.StructField("w", T.IntegerType()), T.StructField("c", T.IntegerType()), T.StructField("data", T.BinaryType())])
 
 # The six views of a composed camera frame, as shares of its width and height (x1, y1, x2, y2).
@@ -33,6 +35,8 @@ def image(x: np.ndarray) -> dict:
 
 
 def _udf(fn: Callable[[np.ndarray], np.ndarray]):
+    importable()
+
     @F.pandas_udf(IMAGE)
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:

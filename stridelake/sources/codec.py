@@ -10,6 +10,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stridelake.workers import importable
+
 ARRAY = T.StructType([T.StructField("dtype", T.StringType()), T.StructField("shape", T.ArrayType(T.IntegerType())), T.StructField("data", T.BinaryType())])
 
 
@@ -38,9 +40,11 @@ def _pack(xs: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
 
 def to_vector(array: Column) -> Column:
     """The elements of a packed array as array<double>, in row order."""
+    importable()
     return _flat(array["dtype"], array["data"])
 
 
 def from_vector(x: Column) -> Column:
     """A packed float64 array of one dimension."""
+    importable()
     return _pack(x)

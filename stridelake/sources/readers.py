@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from stridelake.operators.sets import concatenated
 from stridelake.operators.windows import chunked, steps_from_arrays
+from stridelake.workers import importable
 
 RANGES = "map<string,array<array<bigint>>>"
 STATS = "norm_stats map<string,struct<mean:array<double>,std:array<double>,q01:array<double>,q99:array<double>>>"
@@ -171,6 +172,7 @@ def converted(spark: SparkSession, files: DataFrame, reader: Callable[[bytes], l
         need(library)
     import pandas as pd
 
+    importable(spark)
     names = T._parse_datatype_string(schema).fieldNames()
 
     def run(batches):

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stridelake.workers import importable
+
 
 def _plain(row: dict) -> dict:
     """pandas' missing values as None."""
@@ -31,6 +33,7 @@ def _schema(df: DataFrame, key: str, machine) -> T.StructType:
 def over_table(df: DataFrame, machine, key: str, order: Sequence[str]) -> DataFrame:
     """Output rows with their key. Rows are shuffled by key and sorted once; each task goes through its rows
     in order with one state at a time, so a key of any length takes constant memory."""
+    importable(df.sparkSession)
     schema = _schema(df, key, machine)
     names = schema.names
 
@@ -50,6 +53,7 @@ def over_table(df: DataFrame, machine, key: str, order: Sequence[str]) -> DataFr
 
 def over_stream(df: DataFrame, machine, key: str, order: Sequence[str]) -> DataFrame:
     """The same on a stream: rows of a micro-batch are taken in order, and state is kept between batches."""
+    importable(df.sparkSession)
     schema = _schema(df, key, machine)
     names = schema.names
 
