@@ -279,6 +279,63 @@ def test_lm_losses_are_probabilities(spark):
         assert np.allclose(p.sum(axis=0), 1, atol=1e-5)
 
 
+def lm_losses(rows, targets):
+    """n_tokens and the losses of each (doc_id, text), by dictionaries of all words and bigrams."""
+    texts = [("".join(c if c.isalnum() else " " for c in t or "")).lower().split() for _, t in rows]
+    models = []
+    for chosen in ([i in targets for i, _ in rows], [True] * len(rows)):
+        some = [w for w, c in zip(texts, chosen, strict=True) if c]
+        models.append((Counter(x for w in some for x in w), Counter(p for w in some for p in zip([None, *w], w)), Counter(x for w in some for x in [None, *w][: len(w)])))  # noqa: B905
+    size = len(models[1][0]) + 1
+    out = []
+    for w in texts:
+        loss = []
+        for single, both, history in models:
+            weight = lambda h: lm_score.BIGRAM_SHARE if history[h] else 0  # noqa: E731, B023
+            unigram = lambda x: (single[x] + lm_score.SMOOTH) / (sum(single.values()) + lm_score.SMOOTH * size)  # noqa: E731, B023
+            loss.append(-sum(np.log(weight(h) * both[h, x] / max(history[h], 1) + (1 - weight(h)) * unigram(x)) for h, x in zip([None, *w], w)) / max(len(w), 1))  # noqa: B905
+        out.append((len(w), *loss))
+    return out
+
+
+@pytest.mark.parametrize("params", [{}, {"chunk": 300, "part_bytes": 4000}])
+def test_lm_against_brute_force(spark, params):
+    rng = random.Random(8)
+    words = [f"w{int(rng.paretovariate(0.7))}" for _ in range(3000)]
+    rows = [(i, " ".join(rng.choice(words) for _ in range(rng.randint(0, 60)))) for i in range(120)] + [(None, "w1 w2 w1"), (None, None), (7, "W1, w1"), (500, "")]
+    docs = lm_score.with_target(frame(spark, rows), frame(spark, [(i,) for i in range(0, 60, 2)] + [(None,)], "doc_id long"))
+    got = lm_score.cross_entropy(docs, **params).collect()
+    order = lambda r: (str(r[0]), r[1:])
+    want = sorted(((i, *each) for (i, _), each in zip(rows, lm_losses(rows, set(range(0, 60, 2))), strict=True)), key=order)
+    got = sorted(((r["doc_id"], r["n_tokens"], r["target_loss"], r["background_loss"]) for r in got), key=order)
+    assert [r[:2] for r in got] == [r[:2] for r in want]
+    assert np.allclose([r[2:] for r in got], [r[2:] for r in want], rtol=1e-9)
+
+
+def test_lm_query_keeps_every_word_and_bigram(spark, tmp_path):
+    """More words than a broadcast model's 32,768, each once: the losses are those of all of them."""
+    rows = [(i, " ".join(f"d{i}w{k}" for k in range(100))) for i in range(400)]
+    frame(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    frame(spark, [(i, 1, 0) for i in range(400)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = lm_score.op6_lm_cross_entropy(spark, str(tmp_path)).collect()
+    chosen = {i for i in range(400) if zlib.crc32(str(i).encode()) % 5}
+    unigram = lambda n, total: (n + lm_score.SMOOTH) / (total + lm_score.SMOOTH * 40_001)
+    share = lm_score.BIGRAM_SHARE
+    for r in got:
+        n = int(r["doc_id"] in chosen)
+        rest = [-np.log(share * k + (1 - share) * unigram(k, t)) if k else -np.log(unigram(0, t)) for k, t in ((n, 100 * len(chosen)), (1, 40_000))]
+        first = [-np.log(share * k / d + (1 - share) * unigram(k, t)) for k, d, t in ((n, len(chosen), 100 * len(chosen)), (1, 400, 40_000))]
+        assert [r["target_loss"], r["background_loss"]] == pytest.approx([(99 * a + b) / 100 for a, b in zip(rest, first, strict=True)])
+    assert len(got) == 400
+
+
+def test_lm_query_edges(spark, odd):
+    none = frame(spark, [], "doc_id long")
+    got = lm_score.cross_entropy(lm_score.with_target(odd, none))
+    assert got.count() == odd.count() and all(r["score"] == 0 for r in got.where("n_tokens = 0").collect())
+    assert lm_score.cross_entropy(lm_score.with_target(empty(odd), none)).count() == 0
+
+
 def test_lm_edges(spark, odd):
     none = frame(spark, [], "doc_id long")
     assert lm_score.score(odd, lm_score.fit(lm_score.with_target(odd, none))).count() == odd.count()
