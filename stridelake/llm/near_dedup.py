@@ -140,7 +140,8 @@ def gamma_tables() -> list[np.ndarray]:
 
 def weighted_samples(row: np.ndarray, f: np.ndarray, weight: np.ndarray, n: int, samples: int = SAMPLES) -> np.ndarray:
     """Improved consistent weighted samples, n rows by `samples`, each the hash of the feature and the level
-    that it is drawn at; rows without features get zeros. weight: ln of the features' weights.
+    that it is drawn at; rows without features get zeros. weight: ln of the features' weights. A row's samples
+    depend on its own features alone, not on the rows beside it.
 
     Of a feature's hash for a sample come r and c (both Gamma(2, 1)) and b (uniform). With t = floor(ln w / r
     + b) and ln y = r (t - b), the feature with the least ln c - ln y - r is drawn, at level t."""
@@ -151,26 +152,21 @@ def weighted_samples(row: np.ndarray, f: np.ndarray, weight: np.ndarray, n: int,
     lengths, of = np.diff(np.append(starts, len(row))), row[starts]
     gamma, log_gamma = gamma_tables()
     low = np.uint64((1 << TABLE_BITS) - 1)
-    other = np.flatnonzero(weight)
+    other, full = np.flatnonzero(weight), np.zeros(len(f), np.float32)
     for k in range(samples):
         with np.errstate(over="ignore"):
             x = mix64(f ^ np.uint64((k + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1))
         r, b = gamma[(x & low).view(np.int64)], (x >> np.uint64(44)).astype(np.float32) * np.float32(2.0**-20)
         a = log_gamma[((x >> np.uint64(TABLE_BITS)) & low).view(np.int64)] + r * (b - 1)
-        level = None
-        if len(other):
-            level = np.floor(weight[other] / r[other] + b[other])
-            a[other] -= r[other] * level
+        level = np.floor(weight[other] / r[other] + b[other])  # where the weight is 1, it is 0
+        a[other] -= r[other] * level
         least = np.minimum.reduceat(a, starts)
         hit = np.flatnonzero(a == np.repeat(least, lengths))[::-1]
         chosen = np.zeros(n, np.int64)
         chosen[row[hit]] = hit  # the first one of a tie
-        drawn = f[chosen[of]]
-        if level is not None:
-            full = np.zeros(len(f), np.float32)
-            full[other] = level
-            with np.errstate(over="ignore"):
-                drawn = mix64(drawn + full[chosen[of]].astype(np.int64).view(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+        full[other] = level
+        with np.errstate(over="ignore"):
+            drawn = mix64(f[chosen[of]] + full[chosen[of]].astype(np.int64).view(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
         out[of, k] = drawn.view(np.int64)
     return out
 

@@ -536,6 +536,41 @@ def test_samples_agree_with_weighted_jaccard():
     assert (drawn[0] == drawn[1]).mean() == pytest.approx(np.minimum(x, y).sum() / np.maximum(x, y).sum(), abs=0.03)
 
 
+def test_samples_are_the_same_beside_any_texts():
+    """Two near copies without a lowered feature, one of them in a slice with one that has some."""
+    rng = np.random.default_rng(14)
+    f = rng.integers(0, 1 << 62, 400).astype(np.uint64)
+    alone = near_dedup.weighted_samples(np.zeros(200, int), f[:200], np.zeros(200, np.float32), 1)
+    weight = np.concatenate([np.zeros(200), np.full(200, -0.5)]).astype(np.float32)
+    beside = near_dedup.weighted_samples(np.repeat([0, 1], 200), f, weight, 2)
+    assert (alone[0] == beside[0]).all()
+
+
+def test_near_classes_with_a_passage_in_half_of_the_documents(spark):
+    """Half of the documents share a passage, whose weight is lowered. Near copies lie in slices with and without
+    it; each slice is filled by texts of its own kind. The weights come from exact document frequencies."""
+    rng = random.Random(15)
+    text = lambda n: " ".join(f"v{rng.randrange(10**6)}" for _ in range(n))
+    passage, pairs = text(40), [text(100) for _ in range(20)]
+    plain = [(i, p) for i, p in enumerate(pairs)] + [(100 + i, text(30)) for i in range(280)]
+    mixed = [(1000 + i, p + " end") for i, p in enumerate(pairs)] + [(2000 + i, f"{passage} {text(30)}") for i in range(330)]
+    docs = spark.createDataFrame(plain, "doc_id long, text string").coalesce(1).unionByName(spark.createDataFrame(mixed, "doc_id long, text string").coalesce(1))
+    got = {r["doc_id"]: r["class_id"] for r in near_dedup.near_classes(docs).collect()}
+    rows = plain + mixed
+    sets = [shingled(t) for _, t in rows]
+    df = Counter(s for each in sets for s in each)
+    idf = {s: min(1, np.log1p((len(rows) + near_dedup.PSEUDO) / c) / np.log(1 + near_dedup.SATURATE)) for s, c in df.items()}
+    assert min(idf.values()) < 1
+    class_of = {i: i for i, _ in rows}
+    for b in range(len(rows)):
+        for a in range(b):
+            if both := sets[a] & sets[b]:
+                union = sets[a] | sets[b]
+                if sum(idf[s] * n for s, n in both.items()) >= near_dedup.SIMILARITY * sum(idf[s] * n for s, n in union.items()):
+                    class_of[rows[b][0]] = class_of[rows[a][0]]
+    assert sum(i != c for i, c in class_of.items()) == len(pairs) and got == class_of
+
+
 def test_idf_weights_lower_only_what_most_texts_have():
     n = 10_000
     w = np.exp(near_dedup.log_idf(np.array([1, 100, n // 3, n]), n))
