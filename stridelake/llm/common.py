@@ -13,14 +13,15 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ROOT = str(Path(__file__).resolve().parents[2])
 #: Rows and bytes of an Arrow batch on its way to a Python worker: bounds the worker's memory.
 BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
-#: A side is broadcast only when a count of its rows stays under this.
-BROADCAST_ROWS = 2_000_000
+#: A side is broadcast only when its rows and their bytes, both measured, stay under these.
+BROADCAST_ROWS, BROADCAST_BYTES = 2_000_000, 48 << 20
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -77,10 +78,30 @@ def packed(docs: DataFrame) -> DataFrame:
     return docs.select(F.struct(F.col("*")).alias("row"))
 
 
-def small_or_shuffled(df: DataFrame, rows: int | None = None, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcasts a side whose counted rows stay under the limit; a shuffled hash join otherwise."""
-    n = df.count() if rows is None else rows
-    return F.broadcast(df) if n <= limit else df.hint("shuffle_hash")
+def row_width(df: DataFrame) -> Column:
+    """About how many bytes each row of df takes in memory."""
+    fixed, parts = 16, []
+    for f in df.schema.fields:
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            parts.append(F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)) + 16)
+        elif isinstance(f.dataType, T.ArrayType):
+            inner = f.dataType.elementType
+            each = 16 + 8 * len(inner.fields) if isinstance(inner, T.StructType) else 8
+            parts.append(F.greatest(F.size(F.col(f"`{f.name}`")), F.lit(0)) * each + 16)
+        else:
+            fixed += 8 if not isinstance(f.dataType, T.StructType) else 32
+    return sum(parts, F.lit(fixed).cast("long"))
+
+
+def fits(df: DataFrame, limit: int = BROADCAST_ROWS, most: int = BROADCAST_BYTES) -> bool:
+    """Whether the measured rows of a stored side, and their bytes, are few enough for a broadcast."""
+    rows, nbytes = df.agg(F.count("*"), F.sum(row_width(df))).first()
+    return rows <= limit and (nbytes or 0) <= most
+
+
+def small_or_shuffled(df: DataFrame, limit: int = BROADCAST_ROWS, most: int = BROADCAST_BYTES) -> DataFrame:
+    """Broadcasts a side whose measured rows and bytes stay under the limits; a shuffled join otherwise."""
+    return F.broadcast(df) if fits(df, limit, most) else df.hint("shuffle_merge")
 
 
 def most_frequent(counts: DataFrame, column: str, most: int) -> DataFrame:

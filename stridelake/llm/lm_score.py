@@ -9,6 +9,7 @@ lower, the more it is like the target.
 `cross_entropy` fits on a table and scores the same table with every word and every bigram; nothing of the
 models is collected or broadcast.
 
+- Hashes of words and bigrams count with 56 bits: of 10^12 bigrams one in 70,000 shares another's.
 - Each task cuts its documents into chunks of about CHUNK tokens. A chunk's distinct words and bigrams go,
   with its own counts, to parts of the range of their hashes. There are as many parts as the text has times
   PART_BYTES, so that a part's size stays the same as the corpus grows; a key comes once a chunk at most.
@@ -34,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stridelake.llm.common import materialize, mix64, most_frequent, prepare, read, slices, small_or_shuffled, word_hashes
+from stridelake.llm.common import fits, materialize, mix64, most_frequent, prepare, read, slices, word_hashes
 from stridelake.llm.language_id import fold
 
 VOCABULARY, BIGRAMS = 1 << 15, 1 << 20
@@ -42,9 +43,11 @@ BIGRAM_SHARE, SMOOTH = 0.6, 0.5
 #: Distinct keys that a task holds before it sends them on.
 HELD = 1_500_000
 #: Tokens (or rows) of a chunk, unless one slice has more; bytes of text for each part of the keys.
-CHUNK, PART_BYTES = 700_000, 4 << 20
+CHUNK, PART_BYTES = 600_000, 4 << 20
+#: Bits of a word's or bigram's hash that count; the others are zeros, which take no room.
+KEPT_BITS = np.uint64((1 << 64) - (1 << 8))
 #: Stands before a document's first word.
-START = np.uint64(0xA0761D6478BD642F)
+START = np.uint64(0xA0761D6478BD642F) & KEPT_BITS
 RESULT = "doc_id long, n_tokens long, target_loss double, background_loss double, score double"
 
 
@@ -174,10 +177,14 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
 
 
 def with_target(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """doc_id, text, target: whether the document is one of ids (doc_id)."""
+    """doc_id, text, target: whether the document is one of ids (doc_id). The rows of a partition come in the same
+    order whenever it is computed."""
     chosen = materialize(ids.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("_id")).distinct(), "lm-target")
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return plain.join(small_or_shuffled(chosen), F.col("doc_id") == F.col("_id"), "left").select("doc_id", "text", F.col("_id").isNotNull().alias("target"))
+    small = fits(chosen)
+    side = F.broadcast(chosen) if small else chosen
+    joined = plain.join(side, F.col("doc_id") == F.col("_id"), "left").select("doc_id", "text", F.col("_id").isNotNull().alias("target"))
+    return joined if small else materialize(joined, "lm-documents")
 
 
 def pack(*arrays: np.ndarray) -> bytes:
@@ -204,7 +211,7 @@ class Chunk:
         self.pairs, self.at = np.unique(bigram_keys(ids, row, size), return_inverse=True) if len(ids) else (np.zeros(0, np.int64), np.zeros(0, np.int64))
         self.before, self.word = (x.astype(np.int32) for x in np.divmod(self.pairs, size + 1))
         with np.errstate(over="ignore"):
-            self.hashes = mix64(self.words[self.before] * np.uint64(0x9FB21C651E98DF25) + self.words[self.word])
+            self.hashes = mix64(self.words[self.before] * np.uint64(0x9FB21C651E98DF25) + self.words[self.word]) & KEPT_BITS
         self.pair_order, self.word_order = np.argsort(self.hashes, kind="stable"), np.argsort(self.words, kind="stable")
 
     def events(self, target: np.ndarray) -> tuple[np.ndarray, list[np.ndarray], np.ndarray, list[np.ndarray]]:
@@ -235,8 +242,8 @@ def cuts(hashes: np.ndarray, parts: int) -> np.ndarray:
 
 
 def chunked(docs: DataFrame, parts: int, size: int) -> DataFrame:
-    """From (doc_id, text, target): chunk, part, body. Part -1 holds the chunk's documents and words in order,
-    the others its events."""
+    """From (doc_id, text, target): chunk, part, body. A part below 0, of one chunk each, holds the chunk's documents
+    and words in order, the others its events."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, done = TaskContext.get().partitionId(), 0
@@ -245,14 +252,14 @@ def chunked(docs: DataFrame, parts: int, size: int) -> DataFrame:
         def out() -> Iterator[pa.RecordBatch]:
             tokens = np.concatenate([n for _, n, _ in held])
             doc_id, target = (pa.chunked_array([part.column(c) for part, _, _ in held]) for c in ("doc_id", "target"))
-            words, ids = np.unique(np.concatenate([h for _, _, h in held]), return_inverse=True)
+            words, ids = np.unique(np.concatenate([h for _, _, h in held]) & KEPT_BITS, return_inverse=True)
             held.clear()
             row = np.repeat(np.arange(len(tokens)), tokens)
             chunk = Chunk(words, ids, row)
             pair, both, word, single = chunk.events(target.to_numpy().astype(np.float64)[row])
             number = task << 32 | done
             known = doc_id.is_valid().to_numpy().astype(np.int64)
-            found = [(-1, pack(doc_id.fill_null(0).to_numpy(), known, tokens.astype(np.int64), np.diff(words, prepend=np.uint64(0)), ids.astype(np.int64)))]
+            found = [(-1 - number, pack(doc_id.fill_null(0).to_numpy(), known, tokens.astype(np.int64), np.diff(words, prepend=np.uint64(0)), ids.astype(np.int64)))]
             a, b = cuts(pair, parts).tolist(), cuts(word, parts).tolist()
             for p in range(parts):
                 i, j = slice(a[p], a[p + 1]), slice(b[p], b[p + 1])
@@ -260,7 +267,7 @@ def chunked(docs: DataFrame, parts: int, size: int) -> DataFrame:
                     found.append((p, pack(np.diff(pair[i], prepend=np.uint64(0)), *[c[i] for c in both], np.diff(word[j], prepend=np.uint64(0)), *[c[j] for c in single])))
             for k in range(0, len(found), 1000):
                 some = found[k : k + 1000]
-                yield pa.RecordBatch.from_arrays([pa.array([number] * len(some), pa.int64()), pa.array([p for p, _ in some], pa.int32()), pa.array([body for _, body in some], pa.binary())], ["chunk", "part", "body"])
+                yield pa.RecordBatch.from_arrays([pa.array([number] * len(some), pa.int64()), pa.array([p for p, _ in some], pa.int64()), pa.array([body for _, body in some], pa.binary())], ["chunk", "part", "body"])
 
         rows = tokens = 0
         for part in (part for whole in batches for part in slices(whole, 4096, 2 << 20)):
@@ -273,14 +280,18 @@ def chunked(docs: DataFrame, parts: int, size: int) -> DataFrame:
         if held:
             yield from out()
 
-    return docs.select("doc_id", "text", "target").mapInArrow(run, "chunk long, part int, body binary")
+    return docs.select("doc_id", "text", "target").mapInArrow(run, "chunk long, part long, body binary")
 
 
 def _totals(events: DataFrame) -> DataFrame:
-    """chunk, part, body: the totals of the events that the chunk sent to the part. words, target, background: on one
-    row of each part, its number of words and of their tokens."""
+    """chunk, part, body: the totals of the events that the chunk sent to the part; parts below 0 stay as they are.
+    words, target, background: on one row of each part, its number of words and of their tokens."""
 
     def run(table: pa.Table) -> pa.Table:
+        if table.column("part")[0].as_py() < 0:
+            for name in ("words", "target", "background"):
+                table = table.append_column(name, pa.array([0] * table.num_rows, pa.int64()))
+            return table
         packs = [unpack(b, 8) for b in table.column("body").to_pylist()]
         sums: list[list[np.ndarray]] = []
         facts = [0, 0, 0]
@@ -298,16 +309,16 @@ def _totals(events: DataFrame) -> DataFrame:
         of = [pa.array([v, *[0] * (n - 1)], pa.int64()) for v in facts]
         return pa.table([table.column("chunk"), table.column("part"), pa.array([pack(*each) for each in zip(*sums, strict=True)], pa.binary()), *of], ["chunk", "part", "body", "words", "target", "background"])
 
-    return events.groupBy("part").applyInArrow(run, "chunk long, part int, body binary, words long, target long, background long")
+    return events.groupBy("part").applyInArrow(run, "chunk long, part long, body binary, words long, target long, background long")
 
 
 def cross_entropy(docs: DataFrame, chunk: int = CHUNK, part_bytes: int = PART_BYTES) -> DataFrame:
     """doc_id, n_tokens, target_loss, background_loss, score: a row per row of docs (doc_id, text, target), under the
-    models of docs with all their words and bigrams."""
+    models of docs with all their words and bigrams. Partitions of docs must come in the same order when a lost task
+    is run again, as those of stored tables and of with_target do."""
     prepare(docs.sparkSession)
     nbytes = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    sent = materialize(chunked(docs, 1 + nbytes // part_bytes, chunk), "lm-chunks")
-    totals = materialize(_totals(sent.where("part >= 0")), "lm-totals")
+    totals = materialize(_totals(chunked(docs, 1 + nbytes // part_bytes, chunk)), "lm-totals")
     facts = [v or 0 for v in totals.agg(F.sum("words"), F.sum("target"), F.sum("background")).first()]
     size, total = facts[0] + 1, np.array(facts[1:], np.float64)
 
@@ -320,7 +331,7 @@ def cross_entropy(docs: DataFrame, chunk: int = CHUNK, part_bytes: int = PART_BY
         mean = [np.bincount(row, weights=e, minlength=len(tokens)) / np.maximum(tokens, 1) for e in each]
         return pa.table([pa.array(doc_id, mask=known == 0), pa.array(tokens), pa.array(mean[0]), pa.array(mean[1]), pa.array(mean[0] - mean[1])], ["doc_id", "n_tokens", "target_loss", "background_loss", "score"])
 
-    return sent.where("part < 0").unionByName(totals.select("chunk", "part", "body")).groupBy("chunk").applyInArrow(run, RESULT)
+    return totals.select("chunk", "part", "body").groupBy("chunk").applyInArrow(run, RESULT)
 
 
 def op6_lm_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
