@@ -2,10 +2,11 @@
 
 A byte goes when it is covered by a string of LENGTH bytes that starts anywhere else as well.
 
+0. Of equal texts (sha256) of LENGTH bytes or more every byte goes; one of them takes part in what follows.
 1. Anchors. In each window of LENGTH bytes the leftmost smallest hash of its GRAM-byte grams is the
    window's anchor. It depends on the window's bytes alone, so equal windows have equal anchors at equal
    places. Consecutive windows with one anchor are one record: the anchor's hash, where the first starts,
-   how many there are, and a hash of the bytes they span (the context).
+   how many there are, and a cryptographic digest (blake2b, 128 bits) of the bytes they span (the context).
 2. Contexts that occur more than once are settled: all of their windows repeat. Anchors that occur in one
    context only need nothing else. The distinct contexts of all other anchors are read.
 3. Shards. Contexts are dealt by anchor into shards of about SHARD bytes, so equal windows meet in one
@@ -35,7 +36,11 @@ from stridelake.llm.common import BASE, INVERSE, materialize, mix64, powers, pre
 
 LENGTH, GRAM = 400, 100
 #: Bytes of a shard, and contexts of an anchor that one shard takes at most, about.
-SHARD, HOT = 2 << 20, 6000
+SHARD, HOT = 1 << 19, 500
+#: An end for the spans of whole texts, more than any text has bytes.
+WHOLE = 1 << 33
+#: Most tasks that shards are dealt to.
+TASKS = 20_000
 #: Windows that are hashed at once.
 PIECE = 1 << 20
 SEPARATOR = 255  # in no UTF-8 text
@@ -60,12 +65,30 @@ def gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
         return mix64((prefix[gram:] - prefix[:-gram]) * powers(INVERSE, len(data) - gram + 1))
 
 
+def pieces(offsets: np.ndarray, length: int) -> Iterator[tuple[int, int]]:
+    """Ranges of a batch that are hashed at once: whole texts of PIECE bytes together, or parts of a longer text,
+    cut at fixed places of that text, so that a text's records never depend on its neighbours."""
+    i, n = 0, len(offsets) - 1
+    while i < n:
+        start = int(offsets[i])
+        j = max(i + 1, int(np.searchsorted(offsets, start + PIECE, side="right")) - 1)
+        end = int(offsets[j])
+        if end - start <= PIECE:
+            yield start, end
+        else:
+            for a in range(start, end - length + 1, PIECE):
+                yield a, min(a + PIECE + length - 1, end)
+        i = j
+
+
 def records(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
-    """Of a batch of texts: text, anchor hash, first window's start in the text, number of windows, context hash."""
+    """Of a batch of texts: text, anchor hash, first window's start in the text, number of windows."""
     found: list[tuple[np.ndarray, ...]] = []
-    for a in range(0, max(0, len(data) - length + 1), PIECE):
-        part = data[a : a + PIECE + length - 1]
+    for a, b in pieces(offsets, length):
+        part = data[a:b]
         n = len(part) - length + 1
+        if n < 1:
+            continue
         h = gram_hashes(part, gram)
         place = np.arange(len(h), dtype=np.uint64)
         least = sliding_least((h & np.uint64(~((1 << 22) - 1) & (1 << 64) - 1)) | place, length - gram + 1)[:n]
@@ -80,9 +103,9 @@ def records(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tu
         begin, end = cuts[:-1], cuts[1:]
         keep = whole[begin]
         begin, end = begin[keep], end[keep]
-        found.append((text[begin], h[anchor[begin]].view(np.int64), begin + a - offsets[text[begin]], end - begin, run_hashes(part, begin, end + length - 1).view(np.int64)))
+        found.append((text[begin], h[anchor[begin]].view(np.int64), begin + a - offsets[text[begin]], end - begin))
     if not found:
-        return tuple(np.zeros(0, np.int64) for _ in range(5))
+        return tuple(np.zeros(0, np.int64) for _ in range(4))
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
@@ -201,8 +224,17 @@ def _found(table: pa.Table, at: np.ndarray, hit: np.ndarray, starts: np.ndarray)
     return pa.table({"digest": rows.column("digest"), "first": pa.array(rows.column("first").to_numpy() + first), "windows": pa.array(n)})
 
 
+def _distinct(table: pa.Table) -> pa.Table:
+    """Rows of a shard without those that come twice, as rows of a document that is repeated with its id do."""
+    seen: dict[tuple, int] = {}
+    for i, key in enumerate(zip(table.column("digest").to_pylist(), table.column("first").to_pylist(), table.column("windows").to_pylist(), strict=True)):
+        seen.setdefault(key, i)
+    return table if len(seen) == table.num_rows else table.take(pa.array(list(seen.values())))
+
+
 def _shard(length: int):
     def run(table: pa.Table) -> pa.Table:
+        table = _distinct(table)
         return _found(table, *repeated_windows(table.column("context").to_pylist(), table.column("windows").to_pylist(), length))
 
     return run
@@ -223,6 +255,7 @@ def _merge_hot(hot: DataFrame, length: int) -> DataFrame:
     kind = np.dtype([("a", "<u8"), ("b", "<u8")])
 
     def lists(table: pa.Table) -> pa.Table:
+        table = _distinct(table)
         contexts = table.column("context").to_pylist()
         at, _ = window_places(contexts, table.column("windows").to_pylist())
         mine = np.unique(_window_hashes(contexts, at, length))
@@ -239,6 +272,7 @@ def _merge_hot(hot: DataFrame, length: int) -> DataFrame:
     def look_up(rows: pa.Table, shared: pa.Table) -> pa.Table:
         if not rows.num_rows:
             return pa.table({"digest": pa.array([], pa.binary()), "first": pa.array([], pa.int64()), "windows": pa.array([], pa.int64())})
+        rows = _distinct(rows)
         contexts = rows.column("context").to_pylist()
         at, twice, starts = repeated_windows(contexts, rows.column("windows").to_pylist(), length)
         elsewhere = np.sort(np.concatenate([np.frombuffer(x, kind) for x in shared.column("hashes").to_pylist()])) if shared.num_rows else np.empty(0, kind)
@@ -254,21 +288,24 @@ def _merge_hot(hot: DataFrame, length: int) -> DataFrame:
     return hot.groupBy("shard").cogroup(shared.groupBy("shard")).applyInArrow(look_up, FOUND)
 
 
-def _anchor_records(keyed: DataFrame, length: int, gram: int) -> DataFrame:
+def _anchor_records(texts: DataFrame, length: int, gram: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = text_bytes(batch.column("text"))
-            text, anchor, first, windows, context = records(data, offsets, length, gram)
+            text, anchor, first, windows = records(data, offsets, length, gram)
             if len(text):
-                yield pa.RecordBatch.from_arrays([batch.column("digest").take(pa.array(text)), pa.array(anchor), pa.array(context), pa.array(first), pa.array(windows)], ["digest", "anchor", "context", "first", "windows"])
+                begin = offsets[text] + first
+                raw = memoryview(data)
+                context = [hashlib.blake2b(raw[a:b], digest_size=16).digest() for a, b in zip(begin.tolist(), (begin + windows + length - 1).tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([batch.column("digest").take(pa.array(text)), pa.array(anchor), pa.array(context, pa.binary()), pa.array(first), pa.array(windows)], ["digest", "anchor", "context", "first", "windows"])
 
-    return keyed.select("digest", "text").mapInArrow(run, "digest binary, anchor long, context long, first long, windows long")
+    return texts.select("digest", "text").mapInArrow(run, "digest binary, anchor long, context binary, first long, windows long")
 
 
-def _contexts(keyed: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
+def _contexts(texts: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     """anchor, digest, first, windows, context (bytes), of wanted (digest, anchor, contexts, first, windows)."""
     per = materialize(wanted.groupBy("digest").agg(F.collect_list(F.struct("anchor", "contexts", "first", "windows")).alias("records")), "wanted")
-    chosen = keyed.join(small_or_shuffled(per, limit=200_000), "digest").select("digest", "text", "records")
+    chosen = texts.join(small_or_shuffled(per), "digest").select("digest", "text", "records")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -282,34 +319,67 @@ def _contexts(keyed: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     return chosen.mapInArrow(run, "digest binary, anchor long, contexts long, first long, windows long, context binary")
 
 
+def _once(keyed: DataFrame, copied: DataFrame) -> DataFrame:
+    """The documents of keyed without all but one of those with equal texts; copied: digest, least id."""
+    least = copied.select(F.col("digest").alias("_digest"), F.col("id").alias("_id"))
+    joined = keyed.join(small_or_shuffled(least), F.col("digest") == F.col("_digest"), "left")
+    return joined.where(F.col("_id").isNull() | (F.col("_id") == F.col("id"))).select("digest", "text")
+
+
 def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard: int = SHARD, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
-    """keyed: doc_id, text, digest of every row; spans: digest and spans (first, windows) of texts with repeats."""
+    """keyed: doc_id, text, digest of every row; spans: digest and spans (start, end) of texts with repeats; an end may
+    lie beyond the text's."""
     prepare(docs.sparkSession)
     digest = F.substring(F.unhex(F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)), 1, 16)
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("digest", digest).withColumn("id", F.coalesce("doc_id", F.lit(-1 << 63)))
-    found = materialize(_anchor_records(keyed, length, gram), "anchors")
+    long_ones = keyed.where(F.octet_length("text") >= length)
+    copied = materialize(long_ones.groupBy("digest").agg(F.min("id").alias("id"), F.count("*").alias("n")).where("n > 1").select("digest", "id"), "copied")
+    texts = _once(long_ones, copied)
+    found = materialize(_anchor_records(texts, length, gram), "anchors")
     distinct = materialize(found.groupBy("anchor", "context").agg(F.count("*").alias("n"), F.min(F.struct("digest", "first", "windows")).alias("at")), "contexts")
-    settled = distinct.where("n > 1").select("anchor", "context")
-    spans = found.join(small_or_shuffled(settled), ["anchor", "context"]).select("digest", "first", "windows")
-    several = distinct.groupBy("anchor").agg(F.count("*").alias("contexts")).where("contexts > 1")
-    wanted = materialize(distinct.join(small_or_shuffled(materialize(several, "several")), "anchor").select("anchor", "contexts", "at.*"), "to-compare")
-    once = keyed.join(small_or_shuffled(materialize(_one_each(keyed, wanted), "one-each"), limit=1_000_000), ["id", "digest"], "left_semi")
-    contexts = materialize(_contexts(once, wanted, length).dropDuplicates(["anchor", "digest", "first"]), "context-bytes")
-    total = wanted.agg(F.sum(F.col("windows") + length)).first()[0] or 0
-    shards = max(1, -(-total // shard))
+    settled = materialize(distinct.where("n > 1").select("anchor", "context"), "settled")
+    whole = copied.select("digest", F.lit(0).cast("long").alias("first"), F.lit(-1).cast("long").alias("windows"))
+    spans = found.join(small_or_shuffled(settled), ["anchor", "context"]).select("digest", "first", "windows").unionByName(whole)
+    several = materialize(distinct.groupBy("anchor").agg(F.count("*").alias("contexts")).where("contexts > 1"), "several")
+    wanted = materialize(distinct.join(small_or_shuffled(several), "anchor").select("anchor", "contexts", "at.*"), "to-compare")
+    total, most = wanted.agg(F.sum(F.col("windows") + length), F.max("contexts")).first()
+    shards = max(1, -(-(total or 0) // shard))
+    contexts = _contexts(texts, wanted, length)
+    if (most or 0) > hot:
+        contexts = materialize(contexts, "context-bytes")
     plain = contexts.where(F.col("contexts") <= hot).withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)))
-    spans = spans.unionByName(plain.select("shard", "digest", "first", "windows", "context").groupBy("shard").applyInArrow(_shard(length), FOUND))
-    large = contexts.where(F.col("contexts") > hot)
-    if not large.isEmpty():
+    dealt = plain.select("shard", "digest", "first", "windows", "context").repartition(min(shards, TASKS), "shard")  # few bytes, much work: not to be coalesced
+    spans = spans.unionByName(dealt.groupBy("shard").applyInArrow(_shard(length), FOUND))
+    if (most or 0) > hot:
+        large = contexts.where(F.col("contexts") > hot)
         part = F.pmod(F.xxhash64("digest", "first"), F.ceil(F.col("contexts") / hot))
         spans = spans.unionByName(_merge_hot(large.select(F.concat_ws(":", "anchor", part).alias("shard"), "digest", "first", "windows", "context"), length))
-    return keyed, materialize(spans.groupBy("digest").agg(F.collect_set(F.struct("first", "windows")).alias("spans")), "spans")
+    return keyed, materialize(_merged(spans, length), "spans")
+
 
+def _merged(spans: DataFrame, length: int) -> DataFrame:
+    """digest, spans (start, end): the maximal runs of bytes that the windows of a text cover."""
 
-def _one_each(keyed: DataFrame, wanted: DataFrame) -> DataFrame:
-    """id and digest of one document for each digest of wanted."""
-    one = keyed.groupBy("digest").agg(F.min("id").alias("id"))
-    return one.join(wanted.select("digest").distinct(), "digest", "left_semi")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("found")
+            each = lists.flatten()
+            row = np.repeat(np.arange(batch.num_rows), lists.value_lengths().to_numpy())
+            first, windows = (each.field(k).to_numpy() for k in (0, 1))
+            end = np.where(windows < 0, WHOLE, first + windows + length - 1)
+            order = np.lexsort((first, row))
+            row, first, end = row[order], first[order], end[order]
+            reach = np.maximum.accumulate(end + row * (2 * WHOLE)) - row * (2 * WHOLE)
+            new = np.ones(len(row), bool)
+            new[1:] = (row[1:] != row[:-1]) | (first[1:] > reach[:-1])
+            starts = np.flatnonzero(new)
+            ends = reach[np.append(starts[1:], len(row)) - 1]
+            cut = np.append(np.searchsorted(row[starts], np.arange(batch.num_rows)), len(starts))
+            merged = pa.StructArray.from_arrays([pa.array(first[starts]), pa.array(ends)], ["start", "end"])
+            yield pa.RecordBatch.from_arrays([batch.column("digest"), pa.ListArray.from_arrays(pa.array(cut, pa.int32()), merged)], ["digest", "spans"])
+
+    lists = spans.groupBy("digest").agg(F.collect_set(F.struct("first", "windows")).alias("found"))
+    return lists.mapInArrow(run, "digest binary, spans array<struct<start:long,end:long>>")
 
 
 REMOVED = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
@@ -319,7 +389,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, with_kept: bool = Fal
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, and, if asked for, spans (start, end of each removed
     run) and kept (the bytes left)."""
     keyed, spans = repeats(docs, length, **params)
-    joined = keyed.join(small_or_shuffled(spans, limit=500_000), "digest", "left").select("doc_id", "text", "spans")
+    joined = keyed.join(small_or_shuffled(spans), "digest", "left").select("doc_id", "text", "spans")
     schema = REMOVED + ", spans array<struct<start:long,end:long>>, kept binary" * with_kept
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -329,12 +399,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, with_kept: bool = Fal
             rows = []
             for i, found in enumerate(batch.column("spans").to_pylist()):
                 text = raw[cut[i] : cut[i + 1]]
-                merged: list[list[int]] = []
-                for first, end in sorted((s["first"], s["first"] + s["windows"] + length - 1) for s in found or ()):
-                    if merged and first <= merged[-1][1]:
-                        merged[-1][1] = max(merged[-1][1], end)
-                    else:
-                        merged.append([first, end])
+                merged = [(s["start"], min(s["end"], len(text))) for s in found or ()]
                 edges = [0, *(x for s in merged for x in s), len(text)]
                 kept = b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
                 rows.append((len(text), len(text) - len(kept), len(merged), hashlib.sha256(kept).hexdigest(), [{"start": a, "end": b} for a, b in merged], kept))

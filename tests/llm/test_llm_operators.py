@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from stridelake.llm import chat_tree, exact_dedup, language_id, lm_score, mixing, near_dedup, ogg_media, packing, quality_knn, suffix_dedup
@@ -188,6 +189,42 @@ def test_repeats_against_brute_force(spark, params):
     assert got == want
 
 
+def letters(rng, n):
+    return bytes(rng.integers(97, 123, n, dtype=np.uint8)).decode()
+
+
+@pytest.mark.parametrize("parts", [1, 7])
+def test_repeats_do_not_depend_on_how_rows_fall_into_batches(spark, parts):
+    """Equal texts over several batches, passages at any place of a piece, and texts longer than a piece."""
+    rng = np.random.default_rng(11)
+    twice = [letters(rng, 4199) for _ in range(600)]
+    passages = [letters(rng, 1126) for _ in range(200)]
+    near = [(letters(rng, 2000 + i), p) for i, p in enumerate(passages)]
+    long = letters(rng, 3_300_000)
+    a, b = (1 << 20) - 700, (2 << 20) + 900
+    other = letters(rng, 1_500_017) + long[a:b] + letters(rng, 12_345)
+    rows, want = [], {}
+    for t in [*twice, *twice]:
+        rows.append(t)
+        want[len(rows) - 1] = [(0, len(t))]
+    for k in (0, 1):
+        for head, p in near:
+            rows.append(head[k * 900 :] + p + letters(rng, 500))
+            start = len(head) - k * 900
+            # what is left of the head after 900 bytes is in the first one too
+            want[len(rows) - 1] = [(900 if k == 0 else 0, start + len(p))]
+    rows += [long, other]
+    want[len(rows) - 2], want[len(rows) - 1] = [(a, b)], [(1_500_017, 1_500_017 + b - a)]
+    df = frame(spark, list(enumerate(rows))).repartition(parts, "doc_id") if parts > 1 else frame(spark, list(enumerate(rows))).coalesce(1)
+    for r in suffix_dedup.without_repeats(df, with_kept=True).collect():
+        text, spans = rows[r["doc_id"]], [(s["start"], s["end"]) for s in r["spans"]]
+        # a letter beside a passage agrees by chance in one of 26
+        assert len(spans) == len(want[r["doc_id"]]), r["doc_id"]
+        for (x, y), (u, v) in zip(spans, want[r["doc_id"]], strict=True):
+            assert u - 8 <= x <= u and v <= y <= v + 8, r["doc_id"]
+        assert r["kept"].decode() == text[: spans[0][0]] + text[spans[0][1] :] and r["n_removed"] == spans[0][1] - spans[0][0]
+
+
 def test_suffix_order_and_prefixes():
     rng = random.Random(5)
     for _ in range(40):
@@ -389,6 +426,66 @@ def test_language_held_out(spark, sf):
     assert set(got) == set(lang) and sum(held) / len(held) > 0.95
 
 
+def naive_language(train, texts):
+    """Languages and scores by dictionaries."""
+    words_in = lambda t: "".join(c.lower() if len(c.lower()) == 1 else c for c in "".join(c if c.isalpha() else " " for c in t or "")).split()
+    cut = lambda w, n: [m[i : i + n] for m in [w if n == 1 else f"^{w}$"] for i in range(len(m) - n + 1)]
+    langs = sorted({v for _, v in train})
+    tables = [{v: Counter() for v in langs} for _ in range(5)]
+    for t, v in train:
+        for w in words_in(t):
+            tables[0][v][w] += 1
+            for n in range(1, 5):
+                tables[n][v].update(cut(w, n))
+    log = lambda k, v, g: np.log((tables[k][v][g] + 0.1) / (sum(tables[k][v].values()) + 0.1 * max(len(tables[k][v]), 1) + 1))
+    seen = lambda k, g: any(tables[k][v][g] for v in langs)
+    out = []
+    for t in texts:
+        total = np.zeros(len(langs))
+        for w in words_in(t):
+            if seen(0, w):
+                total += [log(0, v, w) for v in langs]
+                continue
+            for n in (4, 3, 2, 1):
+                if have := [g for g in cut(w, n) if seen(n, g)]:
+                    total += [np.mean([log(n, v, g) for g in have]) for v in langs]
+                    break
+        k = len(words_in(t))
+        p = np.exp((total - total.max()) / max(1, k / 10))
+        out.append((langs[int(total.argmax())], p.max() / p.sum()) if k else ("und", 0.0))
+    return out
+
+
+@pytest.mark.parametrize("piece", [1 << 20, 40])
+def test_language_against_brute_force(spark, monkeypatch, piece):
+    monkeypatch.setattr(language_id, "PIECE", piece)
+    rng = random.Random(18)
+    own = {"de": "straße über männer Grün", "en": "the street over men Green", "ru": "улица над люди зелёный", "x": "İI ǅ ﬁ ñ"}
+    say = lambda v, n: "".join(rng.choice([*own[v].split(), *"abcdé"]) + rng.choice([" ", "-", "7", "", ""]) for _ in range(n))
+    train = [(say(v, rng.randint(0, 30)), v) for v in own for _ in range(12)]
+    texts = [say(v, rng.randint(0, 40)) for v in own for _ in range(10)] + [None, "", "12 !?", "q", "日本語", "x" * 300]
+    model = language_id.fit(frame(spark, train, "text string, lang string"))
+    lang, score = language_id.scores(texts, model)
+    want = naive_language(train, texts)
+    assert lang == [w[0] for w in want] and np.allclose(score, [w[1] for w in want], atol=1e-4)
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in language_id.predict(frame(spark, list(enumerate(texts))), model).collect()}
+    assert [got[i][0] for i in range(len(texts))] == lang and np.allclose([got[i][1] for i in range(len(texts))], score)
+
+
+def test_language_edges(spark, odd):
+    sample = language_id.sampled(odd)
+    assert sample.columns == ["text", "lang"] and {r["lang"] for r in sample.collect()} <= {"en", "fr"}
+    model = language_id.fit(sample)
+    got = language_id.predict(odd, model).collect()
+    assert len(got) == odd.count() and {r["lang_pred"] for r in got} == {"en", "fr", "und"}
+    assert sum(r["lang_pred"] == "und" for r in got) == 3 and all(r["score"] == 0 for r in got if r["lang_pred"] == "und")
+    assert language_id.predict(empty(odd), model).count() == 0
+    assert {r["lang_pred"] for r in language_id.predict(odd, language_id.fit(language_id.sampled(empty(odd)))).collect()} == {"und"}
+    rows = [(i, f"word{i}", "big" if i % 50 else "small") for i in range(3000)]
+    drawn = Counter(r["lang"] for r in language_id.sampled(frame(spark, rows, "doc_id long, text string, lang string"), rows=200).collect())
+    assert drawn["small"] == 60 and 150 < drawn["big"] < 250
+
+
 def test_language_backs_off_to_n_grams(spark):
     rows = [("the thing there that this", "en")] * 3 + [("der dieser jeder wieder", "de")] * 3
     model = language_id.fit(frame(spark, rows, "text string, lang string"))
@@ -488,20 +585,32 @@ def shingled(text):
     return Counter(tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))) if words else Counter()
 
 
-def classes_of(rows):
-    sets = [shingled(t or "") for _, t in rows]
+def idf_of(rows, counters=near_dedup.COUNTERS):
+    """Weight of each shingle, from exact document frequencies over distinct texts."""
+    texts = {t or "" for _, t in rows}
+    df = Counter(s for t in texts for s in set(shingled(t)))
+    floor, n = max(1, sum(df.values()) / counters), len(texts) + near_dedup.PSEUDO
+    return {s: np.log1p(n / max(c, floor)) / np.log1p(n / floor) for s, c in df.items()}
+
+
+def weighted_similarity(a, b, idf):
+    total = lambda c: sum(idf[s] * n for s, n in c.items())
+    return total(a & b) / total(a | b)
+
+
+def classes_of(rows, counters=near_dedup.COUNTERS):
+    sets, idf = [shingled(t or "") for _, t in rows], idf_of(rows, counters)
     label = list(range(len(rows)))
     for i in range(len(rows)):
         for j in range(i):
-            union = sum((sets[i] | sets[j]).values())
-            same = (rows[i][1] or "") == (rows[j][1] or "") if not union else sum((sets[i] & sets[j]).values()) / union >= 0.8
+            same = (rows[i][1] or "") == (rows[j][1] or "") or bool(sets[i] and sets[i] & sets[j]) and weighted_similarity(sets[i], sets[j], idf) >= 0.8
             if same and label[i] != label[j]:
                 label = [label[j] if x == label[i] else x for x in label]
     return label
 
 
-@pytest.mark.parametrize("bucket", [1 << 21, 4000])
-def test_near_classes_against_brute_force(spark, bucket):
+@pytest.mark.parametrize(("bucket", "counters"), [(1 << 21, 1 << 20), (4000, 1 << 20), (1 << 21, 500), (4000, 500)])
+def test_near_classes_against_brute_force(spark, bucket, counters):
     rng = random.Random(11)
     words = [f"w{i}" for i in range(300)]
     rows: list[tuple] = []
@@ -513,8 +622,12 @@ def test_near_classes_against_brute_force(spark, bucket):
                 copy[rng.randrange(len(copy))] = f"x{rng.randrange(10**6)}"
             rows.append((len(rows), " ".join(copy)))
     rows += [(len(rows) + i, " ".join(rng.choice(words) for _ in range(50))) for i in range(60)]
-    got = {r["doc_id"]: r for r in near_dedup.near_classes(frame(spark, rows), bucket=bucket).collect()}
-    want = classes_of(rows)
+    rows += [(len(rows) + i, rows[3 * i][1]) for i in range(9)]
+    weights = idf_of(rows, counters)
+    lowered = [weights[x] < 1 for _, t in rows for x in shingled(t)]
+    assert sum(lowered) > 0.6 * len(lowered) or counters == 500
+    got = {r["doc_id"]: r for r in near_dedup.near_classes(frame(spark, rows), bucket=bucket, counters=counters).collect()}
+    want = classes_of(rows, counters)
     first = {}
     for (i, _), lab in zip(rows, want, strict=True):
         first.setdefault(lab, i)
@@ -558,9 +671,8 @@ def test_near_classes_with_a_passage_in_half_of_the_documents(spark):
     got = {r["doc_id"]: r["class_id"] for r in near_dedup.near_classes(docs).collect()}
     rows = plain + mixed
     sets = [shingled(t) for _, t in rows]
-    df = Counter(s for each in sets for s in each)
-    idf = {s: min(1, np.log1p((len(rows) + near_dedup.PSEUDO) / c) / np.log(1 + near_dedup.SATURATE)) for s, c in df.items()}
-    assert min(idf.values()) < 1
+    idf = idf_of(rows)
+    assert min(idf.values()) < 0.3
     class_of = {i: i for i, _ in rows}
     for b in range(len(rows)):
         for a in range(b):
@@ -571,10 +683,37 @@ def test_near_classes_with_a_passage_in_half_of_the_documents(spark):
     assert sum(i != c for i, c in class_of.items()) == len(pairs) and got == class_of
 
 
-def test_idf_weights_lower_only_what_most_texts_have():
-    n = 10_000
-    w = np.exp(near_dedup.log_idf(np.array([1, 100, n // 3, n]), n))
-    assert w[:3].tolist() == pytest.approx([1, 1, 1]) and 0.4 < w[3] < 0.6
+@pytest.mark.parametrize("counters", [40, 700, 1 << 20])
+def test_document_frequencies_are_exact(spark, counters, monkeypatch):
+    monkeypatch.setattr(near_dedup, "HELD", 300)
+    rng = random.Random(16)
+    lines = [" ".join(f"l{i}.{j}" for j in range(8)) for i in range(60)]
+    rows = [(i, " ".join(lines[min(59, int(rng.paretovariate(0.5)) - 1)] for _ in range(rng.randint(1, 6))) + f" own{i} a b c d") for i in range(150)]
+    want = idf_of(rows, counters)
+    got = near_dedup.document_frequencies(frame(spark, rows).repartition(5), len(rows), sum(len(t) for _, t in rows), counters)
+    table = pa.array([t for _, t in rows])
+    weights = {}
+    for i in range(len(rows)):
+        _, shingle, _ = near_dedup.shingles(table[i : i + 1])
+        for s, w in zip(shingle.tolist(), got(shingle).tolist(), strict=True):
+            weights[s] = np.exp(w)
+    assert len(weights) == len(want) and len(got.shingle) <= counters
+    assert np.allclose(sorted(weights.values()), sorted(want.values()), atol=1e-5)
+
+
+def test_lossy_counts_miss_nothing_frequent():
+    rng = np.random.default_rng(17)
+    events = (rng.pareto(0.4, 30_000) % 10**6).astype(np.uint64)
+    counter = near_dedup.LossyCounter(50, held=700)
+    for i in range(0, len(events), 100):
+        counter.add(events[i : i + 100])
+    counter.merge()
+    keys, n = np.unique(events, return_counts=True)
+    have = dict(zip(counter.keys.tolist(), counter.counts.tolist(), strict=True))
+    bound = len(events) / (2 * 50)
+    assert len(have) < 2000
+    for k, c in zip(keys.tolist(), n.tolist(), strict=True):
+        assert c - bound <= have.get(k, 0) <= c
 
 
 def test_links_are_a_spanning_forest_of_all_links():
