@@ -8,10 +8,11 @@ weighted Jaccard similarity, and links of at least SIMILARITY join texts into cl
 
 - Words: lower-cased runs of ASCII letters, digits and bytes of other scripts. A text of fewer than
   SHINGLE words is one shingle.
-- IDF: document frequencies over all documents in a count-min sketch of fixed size, whose error is a fixed
-  share of the corpus; ln(1 + (N + 100) / df) / ln 4, at most 1. It lowers what is in over a third of all
-  documents and nothing rarer: as one group of copies may hold a third of all rows, a steeper weight would
-  tear such a group's members apart by their own size.
+- IDF: ln(1 + (N + 100) / df), relative to that of the rarest shingles; N counts distinct texts, df those that
+  have the shingle. What fewer than a share of 1 / COUNTERS of all (text, shingle) pairs hold counts as rare, df
+  being that share, at least 1: at up to COUNTERS pairs this is no shingle, and at any size at most COUNTERS
+  shingles are more frequent, whose exact df are broadcast. Lossy counting in each task finds all that may be
+  (a superset, as no task's error is over half the share), and a second pass counts those exactly.
 - Texts that are equal are one text from the start. Of buckets with the same members one is compared.
 - A bucket is searched exactly, inside one task: a text is compared with all that it is not linked to
   yet, until no unlinked pair is left; only a spanning forest of links comes out, never all pairs.
@@ -33,20 +34,25 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from stridelake.llm.common import materialize, mix64, packed, prepare, read, slices, small_or_shuffled, word_hashes
+from stridelake.llm.common import fits, materialize, mix64, packed, prepare, read, slices, small_or_shuffled, word_hashes
 from stridelake.llm.components import components
 
-SHINGLE, SIMILARITY, BANDS, ROWS = 5, 0.8, 10, 2
+SHINGLE, SIMILARITY, BANDS, ROWS = 5, 0.8, 14, 3
 SAMPLES = BANDS * ROWS
 #: Most features that the texts of a bucket may have together to be compared by one task.
 BUCKET, HUBS = 1 << 21, 4
-WIDTH, CHUNK, PSEUDO, SATURATE = 1 << 17, 1 << 14, 100, 3
+#: Most shingles whose document frequencies are broadcast, texts added to their number, and distinct shingles that
+#: a task counts before it leaves out rare ones.
+COUNTERS, PSEUDO, HELD = 1 << 19, 100, 500_000
+#: Bytes of text that a task counts for each counter, about: the more, the fewer rare shingles it puts out.
+COUNTED_BYTES = 24
 #: Quantiles in the tables of the two gamma-distributed variables.
 TABLE_BITS = 17
 NO_ID = -(1 << 63)
 
+
 def shingles(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For a batch of texts: the row of each feature, its shingle's hash (48 bits) and its occurrence
+    """For a batch of up to 256 texts: the row of each feature, its shingle's hash (56 bits) and its occurrence
     number in the text, ordered by row and shingle."""
     n = len(column)
     row, words = word_hashes(column)
@@ -62,66 +68,117 @@ def shingles(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         for i in range(SHINGLE):
             h = h * np.uint64(0x9FB21C651E98DF25) + np.where(left > i, padded[i : i + len(words)], np.uint64(i + 1))
     take = (left >= SHINGLE) | (np.arange(len(words)) == first[row])
-    key = (row[take].astype(np.uint64) << np.uint64(48)) | (mix64(h[take]) >> np.uint64(16))
+    key = (row[take].astype(np.uint64) << np.uint64(56)) | (mix64(h[take]) >> np.uint64(8))
     key.sort()
     new = np.ones(len(key), bool)
     new[1:] = key[1:] != key[:-1]
     at = np.arange(len(key))
     occurrence = at - np.maximum.accumulate(np.where(new, at, 0))
-    return (key >> np.uint64(48)).astype(np.int64), key & np.uint64((1 << 48) - 1), occurrence
-
-
-def cells(shingle: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Cells of the sketch's two rows."""
-    return (shingle % np.uint64(WIDTH)).astype(np.int64), ((shingle >> np.uint64(20)) % np.uint64(WIDTH)).astype(np.int64) + WIDTH
-
+    return (key >> np.uint64(56)).astype(np.int64), key & np.uint64((1 << 56) - 1), occurrence
+
+
+class LossyCounter:
+    """Counts of distinct keys in bounded memory. A key that is missing, and a count that is short, lack at most
+    seen / (2 counters) events, `seen` being the number of all events."""
+
+    def __init__(self, counters: int, held: int = HELD) -> None:
+        self.counters, self.held, self.seen, self.bound = counters, held, 0, 0
+        self.waiting: list[np.ndarray] = []
+        self.keys, self.counts, self.short = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def add(self, keys: np.ndarray) -> None:
+        self.waiting.append(keys)
+        self.seen += len(keys)
+        if sum(map(len, self.waiting)) > self.held:
+            self.merge()
+
+    def merge(self) -> None:
+        """Adds what waits, and leaves out keys whose count may be within the error."""
+        new, n = np.unique(np.concatenate([np.zeros(0, np.uint64), *self.waiting]), return_counts=True)
+        self.waiting = []
+        keys = np.concatenate([self.keys, new])
+        counts = np.concatenate([self.counts, n])
+        short = np.concatenate([self.short, np.full(len(new), self.bound)])
+        order = np.argsort(keys, kind="stable")
+        keys, counts, short = keys[order], counts[order], short[order]
+        starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+        if len(keys):
+            keys, counts, short = keys[starts], np.add.reduceat(counts, starts), np.minimum.reduceat(short, starts)
+        self.bound = self.seen // (2 * self.counters)
+        stays = counts + short > self.bound
+        self.keys, self.counts, self.short = keys[stays], counts[stays], short[stays]
+
+
+class Idf:
+    """ln of a shingle's weight: 0 for rare ones."""
+
+    def __init__(self, shingle: np.ndarray, df: np.ndarray, n: int, floor: float) -> None:
+        order = np.argsort(shingle)
+        self.shingle = shingle[order]
+        weight = np.log1p((n + PSEUDO) / np.maximum(df[order], floor)) / np.log1p((n + PSEUDO) / floor)
+        self.log = np.log(weight).astype(np.float32)
+        self.maybe = np.zeros(1 << 22, bool)  # by the low bits, so that most rare shingles take one look
+        self.maybe[(self.shingle & np.uint64((1 << 22) - 1)).astype(np.int64)] = True
+
+    def __call__(self, shingle: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(shingle), np.float32)
+        look = np.flatnonzero(self.maybe[(shingle & np.uint64((1 << 22) - 1)).astype(np.int64)])
+        if len(look):
+            some = shingle[look]
+            at = np.minimum(np.searchsorted(self.shingle, some), len(self.shingle) - 1)
+            hit = self.shingle[at] == some
+            out[look[hit]] = self.log[at[hit]]
+        return out
 
-def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
-    """The sketch over all rows of docs, and their number. Partial sketches are summed level by level."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, rows = np.zeros(2 * WIDTH, np.int64), 0
-        for batch in batches:
-            for part in slices(batch, 4096, 1 << 19):
-                _, shingle, occurrence = shingles(part.column("text"))
-                once = shingle[occurrence == 0]
-                for c in cells(once):
-                    total += np.bincount(c, minlength=2 * WIDTH)
-            rows += batch.num_rows
-        if rows:
-            parts = total.reshape(-1, CHUNK)
-            yield pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary()), pa.array([rows] * len(parts), pa.int64())], ["chunk", "counts", "n"])
-
-    def add(key: tuple, groups: Iterator[pa.RecordBatch]) -> pa.Table:
-        total, rows = np.zeros(CHUNK, np.int64), 0
-        for batch in groups.to_batches():
-            for c, n in zip(batch.column("counts"), batch.column("n"), strict=True):
-                total += np.frombuffer(c.as_buffer(), np.int64)
-                rows += n.as_py()
-        return pa.table({"chunk": pa.array([key[0].as_py()], pa.int32()), "counts": pa.array([total.tobytes()], pa.binary()), "n": pa.array([rows], pa.int64())})
-
-    schema = "chunk int, counts binary, n long"
-    parts = materialize(docs.select("text").mapInArrow(count, schema), "frequencies")
-    chunks = 2 * WIDTH // CHUNK
-    while (most := parts.count() // chunks) > 1:
-        salted = parts.withColumn("salt", F.pmod(F.monotonically_increasing_id(), F.lit(max(1, most // 64))))
-        parts = materialize(salted.groupBy("chunk", "salt").applyInArrow(add, schema), "frequencies")
-    got = parts.groupBy("chunk").applyInArrow(add, schema).orderBy("chunk").collect()  # 2 MB, whatever the input
-    return (np.concatenate([np.frombuffer(r["counts"], np.int64) for r in got]), got[0]["n"]) if got else (np.zeros(2 * WIDTH, np.int64), 0)
-
-
-def log_idf(frequencies: np.ndarray, n: int) -> np.ndarray:
-    """ln of the weight, by cell; 0 wherever the weight is 1."""
-    return np.log(np.minimum(1, np.log1p((n + PSEUDO) / np.maximum(frequencies, 1)) / np.log(1 + SATURATE))).astype(np.float32)
-
-
-def features(column: pa.Array, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def document_frequencies(texts: DataFrame, n: int, nbytes: int, counters: int = COUNTERS) -> Idf:
+    """The weights over all rows of texts (text), which number n and have about nbytes together."""
+    spark = texts.sparkSession
+    tasks = 1 + nbytes // (COUNTED_BYTES * counters)
+
+    def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count = LossyCounter(counters)
+        for part in (part for batch in batches for part in slices(batch)):
+            _, shingle, occurrence = shingles(part.column("text"))
+            count.add(shingle[occurrence == 0])
+        count.merge()
+        yield pa.RecordBatch.from_arrays([pa.array([-1]), pa.array([count.seen], pa.int64())], ["shingle", "n"])
+        for i in range(0, len(count.keys), 100_000):
+            yield pa.RecordBatch.from_arrays([pa.array(count.keys[i : i + 100_000].astype(np.int64)), pa.array(count.counts[i : i + 100_000])], ["shingle", "n"])
+
+    schema = "shingle long, n long"
+    found = materialize(texts.select("text").coalesce(tasks).mapInArrow(candidates, schema).groupBy("shingle").agg(F.sum("n").alias("n")), "shingle-candidates")
+    total = found.where("shingle = -1").agg(F.sum("n")).first()[0] or 0
+    floor = max(1.0, total / counters)
+    likely = found.where((F.col("shingle") >= 0) & (F.col("n") >= total / (2 * counters)))  # at most 2 x counters rows
+    wanted = np.sort(likely.select("shingle").toArrow().column(0).to_numpy())
+    shared = spark.sparkContext.broadcast(wanted.astype(np.uint64))
+
+    def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys = shared.value
+        counts = np.zeros(len(keys), np.int64)
+        for part in (part for batch in batches for part in slices(batch)):
+            _, shingle, occurrence = shingles(part.column("text"))
+            once = np.sort(shingle[occurrence == 0])
+            if len(keys) and len(once):
+                at = np.minimum(np.searchsorted(keys, once), len(keys) - 1)
+                counts += np.bincount(at[keys[at] == once], minlength=len(keys))
+        has = np.flatnonzero(counts)
+        for i in range(0, len(has), 100_000):
+            some = has[i : i + 100_000]
+            yield pa.RecordBatch.from_arrays([pa.array(keys[some].astype(np.int64)), pa.array(counts[some])], ["shingle", "n"])
+
+    counted = texts.select("text").mapInArrow(exact, schema).groupBy("shingle").agg(F.sum("n").alias("n")).where(F.col("n") >= floor)
+    table = materialize(counted, "shingle-frequencies").toArrow()  # at most `counters` rows
+    return Idf(table.column("shingle").to_numpy().astype(np.uint64), table.column("n").to_numpy(), n, floor)
+
+
+def features(column: pa.Array, idf: Idf) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Row, hash and ln weight of each feature of a batch, ordered by row."""
     row, shingle, occurrence = shingles(column)
-    a, b = cells(shingle)
     with np.errstate(over="ignore"):
         f = mix64(shingle + occurrence.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
-    return row, f, np.maximum(idf[a], idf[b])  # the smaller frequency weighs more
+    return row, f, idf(shingle)
 
 
 _TABLES: list[np.ndarray] = []
@@ -175,8 +232,21 @@ def text_digest(text: Column) -> Column:
     return F.substring(F.unhex(F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256)), 1, 16)
 
 
-def signatures(docs: DataFrame, idf) -> DataFrame:
-    """doc_id, digest (of the text), features (their number), samples."""
+def representatives(docs: DataFrame, texts: DataFrame) -> DataFrame:
+    """digest, text of one document for each of texts (digest, rep_id, again, rows)."""
+    keyed = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), "text", text_digest(F.col("text")).alias("digest"))
+    copied = materialize(texts.where("rows > 1").select(F.col("digest").alias("_digest"), "rep_id", "again"), "near-copied")
+    small = fits(copied)
+    joined = keyed.join(F.broadcast(copied) if small else copied, F.col("digest") == F.col("_digest"), "left").where("rep_id IS NULL OR rep_id = id")
+    if (copied.agg(F.max("again")).first()[0] or 1) > 1:  # rows that are repeated, id and text
+        joined = joined.where("coalesce(again, 1) = 1").unionByName(joined.where("again > 1").dropDuplicates(["digest"]))
+        small = False
+    one = joined.select("digest", "text")
+    return one if small else materialize(one, "near-representatives")
+
+
+def signatures(reps: DataFrame, idf) -> DataFrame:
+    """digest, features (their number), samples."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -185,9 +255,9 @@ def signatures(docs: DataFrame, idf) -> DataFrame:
                 drawn = weighted_samples(row, f, weight, part.num_rows)
                 has = np.bincount(row, minlength=part.num_rows)
                 flat = pa.ListArray.from_arrays(pa.array(np.arange(part.num_rows + 1) * SAMPLES, pa.int32()), pa.array(drawn.ravel()))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("digest"), pa.array(has), flat], ["doc_id", "digest", "features", "samples"])
+                yield pa.RecordBatch.from_arrays([part.column("digest"), pa.array(has), flat], ["digest", "features", "samples"])
 
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), "text", text_digest(F.col("text")).alias("digest")).mapInArrow(run, "doc_id long, digest binary, features long, samples array<long>")
+    return reps.select("digest", "text").mapInArrow(run, "digest binary, features long, samples array<long>")
 
 
 def band_key(band: Column, samples: Column) -> Column:
@@ -205,12 +275,22 @@ def buckets(texts: DataFrame) -> DataFrame:
     return bands.join(small_or_shuffled(once), "bucket").select("bucket", "total", "digest", "features")
 
 
-def candidate_features(docs: DataFrame, members: DataFrame, texts: DataFrame, idf) -> DataFrame:
-    """digest, f, weight (packed, in the order of f) of the texts that share a bucket, from one document of each."""
-    wanted = materialize(members.select("digest").distinct().join(texts.select("digest", "rep_id"), "digest"), "candidates")
-    keyed = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("rep_id"), "text", text_digest(F.col("text")).alias("digest"))
-    ids = wanted.select("rep_id").distinct()
-    chosen = keyed.join(small_or_shuffled(ids), "rep_id", "left_semi")
+def packed_weights(weight: np.ndarray) -> bytes:
+    """Places and values of the weights that aren't 1."""
+    at = np.flatnonzero(weight != 1)
+    return at.astype(np.int32).tobytes() + weight[at].astype(np.float32).tobytes()
+
+
+def unpacked_weights(body: bytes, n: int) -> np.ndarray:
+    out, k = np.ones(n, np.float32), len(body) // 8
+    out[np.frombuffer(body, np.int32, k)] = np.frombuffer(body, np.float32, k, 4 * k)
+    return out
+
+
+def candidate_features(reps: DataFrame, members: DataFrame, idf) -> DataFrame:
+    """digest, f, weight (packed, in the order of f) of the texts that share a bucket."""
+    wanted = materialize(members.select("digest").distinct(), "candidates")
+    chosen = reps.join(small_or_shuffled(wanted), "digest", "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -219,13 +299,10 @@ def candidate_features(docs: DataFrame, members: DataFrame, texts: DataFrame, id
                 order = np.lexsort((f, row))
                 row, f, weight = row[order], f[order], np.exp(weight[order])
                 cut = np.searchsorted(row, np.arange(part.num_rows + 1)).tolist()
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("digest"), pa.array([f[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary()), pa.array([weight[a:b].tobytes() if (weight[a:b] != 1).any() else b"" for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary())],
-                    ["digest", "f", "weight"],
-                )
+                ends = list(zip(cut[:-1], cut[1:], strict=True))
+                yield pa.RecordBatch.from_arrays([part.column("digest"), pa.array([f[a:b].tobytes() for a, b in ends], pa.binary()), pa.array([packed_weights(weight[a:b]) for a, b in ends], pa.binary())], ["digest", "f", "weight"])
 
-    found = chosen.mapInArrow(run, "digest binary, f binary, weight binary")
-    return materialize(found.dropDuplicates(["digest"]), "features")
+    return materialize(chosen.mapInArrow(run, "digest binary, f binary, weight binary"), "features")
 
 
 def links_among(sets: list[np.ndarray], weights: list[np.ndarray | None], expand: np.ndarray | None = None, similarity: float = SIMILARITY) -> list[tuple[int, int]]:
@@ -279,7 +356,7 @@ def _compare(groups: DataFrame, similarity: float) -> DataFrame:
     def run(table: pa.Table) -> pa.Table:
         names = table.column("digest").to_pylist()
         sets = [np.frombuffer(x, np.uint64) for x in table.column("f").to_pylist()]
-        weights = [np.frombuffer(x, np.float32) if x else None for x in table.column("weight").to_pylist()]
+        weights = [unpacked_weights(x, len(own)) if x else None for x, own in zip(table.column("weight").to_pylist(), sets, strict=True)]
         marks = table.column("expand").to_pylist()
         expand = None if not marks or marks[0] is None else np.array(marks, bool)
         found = links_among(sets, weights, expand, similarity) if len(sets) > 1 else []
@@ -322,28 +399,30 @@ def _compare_large(members: DataFrame, feats: DataFrame, texts: DataFrame, simil
     return first.unionByName(_compare(both.select(key("shard", "block").alias("key"), "digest", "expand").join(feats, "digest"), similarity))
 
 
-def near_texts(docs: DataFrame, similarity: float = SIMILARITY, bucket: int = BUCKET) -> tuple[DataFrame, DataFrame]:
+def near_texts(docs: DataFrame, similarity: float = SIMILARITY, bucket: int = BUCKET, counters: int = COUNTERS) -> tuple[DataFrame, DataFrame]:
     """rows (doc_id, digest) and classes: digest, label, rep_id of distinct texts; label is shared by a class."""
     spark = prepare(docs.sparkSession)
-    frequencies, n = document_frequencies(docs)
-    idf = spark.sparkContext.broadcast(log_idf(frequencies, n))
-    signed = materialize(signatures(docs, idf), "signatures")
-    texts = materialize(signed.groupBy("digest").agg(F.min("doc_id").alias("rep_id"), F.count("*").alias("rows"), F.first("features").alias("features"), F.first("samples").alias("samples")), "texts")
+    rows = materialize(docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), text_digest(F.col("text")).alias("digest"), F.coalesce(F.octet_length("text"), F.lit(0)).alias("size")), "near-rows")
+    per = rows.groupBy("digest", "doc_id").agg(F.count("*").alias("n")).groupBy("digest").agg(F.min(F.struct("doc_id", "n")).alias("least"), F.sum("n").alias("rows"))
+    groups = materialize(per.select("digest", F.col("least.doc_id").alias("rep_id"), F.col("least.n").alias("again"), "rows"), "near-groups")
+    reps = representatives(docs, groups)
+    idf = spark.sparkContext.broadcast(document_frequencies(reps, groups.count(), rows.agg(F.sum("size")).first()[0] or 0, counters))
+    texts = materialize(signatures(reps, idf), "signatures")
     members = materialize(buckets(texts.where("features > 0")), "members")
-    feats = candidate_features(docs, members, texts, idf)
+    feats = candidate_features(reps, members, idf)
     small = members.where(F.col("total") <= bucket)
     links = _compare(small.select(F.col("bucket").alias("key"), "digest", F.lit(None).cast("boolean").alias("expand")).join(feats, "digest"), similarity)
     large = members.where(F.col("total") > bucket)
     if not large.isEmpty():
         links = links.unionByName(_compare_large(large, feats, texts, similarity, bucket))
     labels = components(links)
-    classes = texts.select("digest", "rep_id", "rows").join(labels.withColumnRenamed("node", "digest"), "digest", "left").withColumn("label", F.coalesce("label", "digest"))
-    return signed.select("doc_id", "digest"), materialize(classes, "classes")
+    classes = groups.select("digest", "rep_id", "rows").join(labels.withColumnRenamed("node", "digest"), "digest", "left").withColumn("label", F.coalesce("label", "digest"))
+    return rows.drop("size"), materialize(classes, "classes")
 
 
-def near_classes(docs: DataFrame, similarity: float = SIMILARITY, bucket: int = BUCKET) -> DataFrame:
+def near_classes(docs: DataFrame, similarity: float = SIMILARITY, bucket: int = BUCKET, counters: int = COUNTERS) -> DataFrame:
     """doc_id, class_id (the class's smallest doc_id), class_texts, class_size, kept: a row per row of docs."""
-    rows, classes = near_texts(docs, similarity, bucket)
+    rows, classes = near_texts(docs, similarity, bucket, counters)
     per = classes.groupBy("label").agg(F.min(F.struct("rep_id", "digest")).alias("best"), F.count("*").alias("class_texts"), F.sum("rows").alias("class_size"))
     of = classes.join(per, "label").select("digest", "best", "class_texts", "class_size")
     more = of.where("class_size > 1")
@@ -353,9 +432,9 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY, bucket: int =
     return joined.select(real(F.col("doc_id")).alias("doc_id"), real(own).alias("class_id"), F.coalesce("class_texts", F.lit(1)).cast("long").alias("class_texts"), F.coalesce("class_size", F.lit(1)).cast("long").alias("class_size"), ((F.col("doc_id") == own) & F.coalesce(F.col("digest") == F.col("best.digest"), F.lit(True))).alias("kept"))
 
 
-def drop_near_copies(docs: DataFrame, similarity: float = SIMILARITY, bucket: int = BUCKET) -> DataFrame:
+def drop_near_copies(docs: DataFrame, similarity: float = SIMILARITY, bucket: int = BUCKET, counters: int = COUNTERS) -> DataFrame:
     """The rows of docs that stay: one of each class."""
-    rows, classes = near_texts(docs, similarity, bucket)
+    rows, classes = near_texts(docs, similarity, bucket, counters)
     best = classes.groupBy("label").agg(F.min(F.struct("rep_id", "digest")).alias("best"))
     lost = classes.join(best, "label").where("rows > 1 OR digest <> best.digest")
     stays = (rows["doc_id"] == F.col("best.rep_id")) & (rows["digest"] == F.col("best.digest"))
