@@ -44,6 +44,8 @@ BIGRAM_SHARE, SMOOTH = 0.6, 0.5
 HELD = 1_500_000
 #: Tokens (or rows) of a chunk, unless one slice has more; bytes of text for each part of the keys.
 CHUNK, PART_BYTES = 600_000, 4 << 20
+#: Most tasks of a shuffle.
+TASKS = 20_000
 #: Bits of a word's or bigram's hash that count; the others are zeros, which take no room.
 KEPT_BITS = np.uint64((1 << 64) - (1 << 8))
 #: Stands before a document's first word.
@@ -283,7 +285,7 @@ def chunked(docs: DataFrame, parts: int, size: int) -> DataFrame:
     return docs.select("doc_id", "text", "target").mapInArrow(run, "chunk long, part long, body binary")
 
 
-def _totals(events: DataFrame) -> DataFrame:
+def _totals(events: DataFrame, tasks: int) -> DataFrame:
     """chunk, part, body: the totals of the events that the chunk sent to the part; parts below 0 stay as they are.
     words, target, background: on one row of each part, its number of words and of their tokens."""
 
@@ -309,7 +311,7 @@ def _totals(events: DataFrame) -> DataFrame:
         of = [pa.array([v, *[0] * (n - 1)], pa.int64()) for v in facts]
         return pa.table([table.column("chunk"), table.column("part"), pa.array([pack(*each) for each in zip(*sums, strict=True)], pa.binary()), *of], ["chunk", "part", "body", "words", "target", "background"])
 
-    return events.groupBy("part").applyInArrow(run, "chunk long, part long, body binary, words long, target long, background long")
+    return events.repartition(tasks, "part").groupBy("part").applyInArrow(run, "chunk long, part long, body binary, words long, target long, background long")
 
 
 def cross_entropy(docs: DataFrame, chunk: int = CHUNK, part_bytes: int = PART_BYTES) -> DataFrame:
@@ -318,7 +320,9 @@ def cross_entropy(docs: DataFrame, chunk: int = CHUNK, part_bytes: int = PART_BY
     is run again, as those of stored tables and of with_target do."""
     prepare(docs.sparkSession)
     nbytes = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    totals = materialize(_totals(chunked(docs, 1 + nbytes // part_bytes, chunk)), "lm-totals")
+    parts = 1 + nbytes // part_bytes
+    tasks = min(parts, TASKS)  # as many as the input has bytes for, so that a task's share stays the same
+    totals = materialize(_totals(chunked(docs, parts, chunk), tasks), "lm-totals")
     facts = [v or 0 for v in totals.agg(F.sum("words"), F.sum("target"), F.sum("background")).first()]
     size, total = facts[0] + 1, np.array(facts[1:], np.float64)
 
@@ -331,7 +335,7 @@ def cross_entropy(docs: DataFrame, chunk: int = CHUNK, part_bytes: int = PART_BY
         mean = [np.bincount(row, weights=e, minlength=len(tokens)) / np.maximum(tokens, 1) for e in each]
         return pa.table([pa.array(doc_id, mask=known == 0), pa.array(tokens), pa.array(mean[0]), pa.array(mean[1]), pa.array(mean[0] - mean[1])], ["doc_id", "n_tokens", "target_loss", "background_loss", "score"])
 
-    return totals.select("chunk", "part", "body").groupBy("chunk").applyInArrow(run, RESULT)
+    return totals.select("chunk", "part", "body").repartition(tasks, "chunk").groupBy("chunk").applyInArrow(run, RESULT)
 
 
 def op6_lm_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
