@@ -45,9 +45,12 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder of spark.checkpoint.dir; a local one only where that is unset (tests)."""
+    """The shared folder of spark.checkpoint.dir; a local one only where that is unset and the master is local."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="stridelake-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")

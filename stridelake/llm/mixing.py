@@ -27,9 +27,11 @@ WORD = r"[^\x20\x09-\x0D]+"
 RANGE_ROWS = 4_000
 
 
-def mix_key(seed: str, doc_id: Column) -> Column:
-    """Hash-random key of a document: hex digits, uniform."""
-    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("null"))).cast("binary"))
+def mix_key(seed: str, doc_id: Column, text: Column) -> Column:
+    """Hash-random key of a document: hex digits, uniform. Rows without a doc_id are keyed by their text, so that
+    many of them don't share one key."""
+    own = F.concat(F.lit("null:"), F.md5(F.coalesce(text, F.lit("")).cast("binary")))
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), own)).cast("binary"))
 
 
 def word_count(text: Column) -> Column:
@@ -59,7 +61,7 @@ def mix_sources(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: floa
 
     taken: words that the mix takes of it; the document at the cut gives its first words only."""
     prepare(docs.sparkSession)
-    slim = materialize(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), mix_key(seed, F.col("doc_id")).alias("key")), "mix")
+    slim = materialize(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), mix_key(seed, F.col("doc_id"), F.col("text")).alias("key")), "mix")
     targets = source_targets(slim, weights, share, cap)
     targets = targets.withColumn("budget", F.floor(F.col("target") + 0.5).cast("long"))
     targets = materialize(targets.withColumn("epochs", F.when(F.col("source_size") > 0, F.floor(F.col("budget") / F.col("source_size"))).otherwise(0).cast("long")), "mix-targets")
@@ -90,7 +92,7 @@ def mixed_documents(docs: DataFrame, **params) -> DataFrame:
     last = F.max(F.when((F.col("size") > 0) & (2 * extra >= F.col("size")), F.struct("key", F.coalesce("doc_id", F.lit(-1 << 63)).alias("doc_id"), "size")))
     cuts = mix.groupBy("source").agg(F.first("epochs").alias("_epochs"), last.alias("_cut"), F.max("source_size").alias("_size"))
     cuts = materialize(cuts.select(F.col("source").alias("_source"), "_epochs", "_cut", "_size"), "mix-cuts")
-    at = F.struct(mix_key(seed, F.col("row.doc_id")).alias("key"), F.coalesce("row.doc_id", F.lit(-1 << 63)).alias("doc_id"), word_count(F.col("row.text")).alias("size"))
+    at = F.struct(mix_key(seed, F.col("row.doc_id"), F.col("row.text")).alias("key"), F.coalesce("row.doc_id", F.lit(-1 << 63)).alias("doc_id"), word_count(F.col("row.text")).alias("size"))
     times = F.col("_epochs") + F.when(F.col("_cut").isNotNull() & (at <= F.col("_cut")), 1).otherwise(0)
     joined = packed(docs).join(small_or_shuffled(cuts), F.col("row.source").eqNullSafe(F.col("_source")))
     out = joined.withColumn("_times", times.cast("int")).where("_times > 0").withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("_times"))))
@@ -104,7 +106,7 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 SQL = r"""
 WITH d AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
-         md5('mix-1:' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS key
+         md5('mix-1:' || coalesce(CAST(doc_id AS VARCHAR), 'null:' || md5(coalesce(text, '')))) AS key
   FROM documents),
 s AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
