@@ -117,11 +117,11 @@ def pad_slice_mask(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""WITH e AS (""" + E64 + """), r AS (SELECT dim, min(x) AS low, max(x) AS high, count(*) AS n FROM e GROUP BY dim),
-b AS (SELECT e.dim, least(floor((x - low) / ((high - low) / 100)), 99) AS bin, low, high, n, count(*) AS c FROM e JOIN r ON e.dim = r.dim GROUP BY ALL),
+b AS (SELECT e.dim, least(floor((x - low) / ((high - low) / 5000)), 4999) AS bin, low, high, n, count(*) AS c FROM e JOIN r ON e.dim = r.dim GROUP BY ALL),
 u AS (SELECT *, sum(c) OVER (PARTITION BY dim ORDER BY bin) AS s FROM b)
-SELECT dim, round(min(CASE WHEN s >= 0.01 * n THEN low + (high - low) / 100 * bin END), 6) + 0.0 AS q01, round(min(CASE WHEN s >= 0.99 * n THEN low + (high - low) / 100 * bin END), 6) + 0.0 AS q99 FROM u GROUP BY dim""")
+SELECT dim, round(min(CASE WHEN s >= 0.01 * n THEN low + (high - low) / 5000 * bin END), 6) + 0.0 AS q01, round(min(CASE WHEN s >= 0.99 * n THEN low + (high - low) / 5000 * bin END), 6) + 0.0 AS q99 FROM u GROUP BY dim""")
 def histogram_quantiles(spark: SparkSession, sf: str) -> DataFrame:
-    q = stats.histogram_quantiles(t(spark, sf, "embeddings"), "embedding", bins=100)
+    q = stats.histogram_quantiles(t(spark, sf, "embeddings"), "embedding")
     return q.select("dim", r6("q01").alias("q01"), r6("q99").alias("q99"))
 
 
@@ -274,11 +274,11 @@ def global_index(spark: SparkSession, sf: str) -> DataFrame:
     return windows.global_positions(t(spark, sf, "events"), ["user_id", *TIMES], 8).select("user_id", "event_id", "position")
 
 
-@query("""WITH m AS (SELECT vec_id, CAST(unnest(range(8)) AS INTEGER) AS dim, CAST(unnest(embedding[1:8]) AS DOUBLE) > 0 AS v, CAST(unnest(embedding[9:16]) AS DOUBLE) > 0 AS s FROM embeddings),
+@query("""WITH m AS (SELECT vec_id, CAST(unnest(range(32)) AS INTEGER) AS dim, CAST(unnest(embedding[1:32]) AS DOUBLE) > 0 AS v, CAST(unnest(embedding[33:64]) AS DOUBLE) > 0 AS s FROM embeddings),
 p AS (SELECT *, sum(CAST(v AS INTEGER)) OVER w - 1 AS pos, sum(CAST(s AS INTEGER)) OVER w AS blk FROM m WINDOW w AS (PARTITION BY vec_id ORDER BY dim))
 SELECT a.vec_id, CAST(sum(DISTINCT CASE WHEN a.dim = b.dim THEN a.pos * 10 + a.dim * 1000 END) AS BIGINT) AS positions, count(*) FILTER (b.blk <= a.blk AND a.v AND b.v) AS allowed FROM p a JOIN p b ON a.vec_id = b.vec_id GROUP BY a.vec_id""")
 def attention_masks(spark: SparkSession, sf: str) -> DataFrame:
-    df = vectors64(spark, sf).select("vec_id", F.transform(F.slice("x", 1, 8), lambda v: v > 0).alias("v"), F.transform(F.slice("x", 9, 8), lambda v: v > 0).alias("s"))
+    df = vectors64(spark, sf).select("vec_id", F.transform(F.slice("x", 1, 32), lambda v: v > 0).alias("v"), F.transform(F.slice("x", 33, 32), lambda v: v > 0).alias("s"))
     places = F.transform(V.token_positions(F.col("v")), lambda p, i: p * 10 + i * 1000)
     allowed = F.size(F.filter(F.flatten(V.attention_allowed(F.col("v"), F.col("s"))), lambda b: b))
     return df.select("vec_id", F.aggregate(places, F.lit(0).cast("long"), lambda a, v: a + v).alias("positions"), allowed.cast("long").alias("allowed"))
@@ -504,12 +504,11 @@ def discretize_state(spark: SparkSession, sf: str) -> DataFrame:
     return vectors64(spark, sf).select("vec_id", F.posexplode(V.discretise(x)).alias("dim", "bin"))
 
 
-@query(r"""WITH p AS (SELECT doc_id, regexp_replace(substr(text, 1, 60), '^\s+|\s+$', '', 'g') AS a, regexp_replace(lower(substr(text, 1, 60)), '^\s+|\s+$', '', 'g') AS b FROM documents)
+@query(r"""WITH p AS (SELECT doc_id, regexp_replace(text, '^\s+|\s+$', '', 'g') AS a, regexp_replace(lower(text), '^\s+|\s+$', '', 'g') AS b FROM documents)
 SELECT doc_id, translate(a, '_' || chr(10), '  ') AS prompt, 'Task: ' || translate(b, '_', ' ') || ', State: 1 ' || CAST(doc_id % 256 AS VARCHAR) || ';' || chr(10) || 'Action: ' AS full_prompt FROM p""")
 def prompt_template(spark: SparkSession, sf: str) -> DataFrame:
-    head = F.substring("text", 1, 60)
     bins = F.array(F.lit(1).cast("long"), F.col("doc_id") % 256)
-    return t(spark, sf, "documents").select("doc_id", X.clean_prompt(head).alias("prompt"), X.prompt_with_state(X.clean_prompt_lower(head), bins).alias("full_prompt"))
+    return t(spark, sf, "documents").select("doc_id", X.clean_prompt(F.col("text")).alias("prompt"), X.prompt_with_state(X.clean_prompt_lower(F.col("text")), bins).alias("full_prompt"))
 
 
 @query("""WITH d AS (SELECT event_id, CAST(event_id % 10 AS INTEGER) AS p, CAST(event_id % 7 AS INTEGER) AS q FROM events), k AS (SELECT *, CAST(unnest(range(12)) AS INTEGER) AS k FROM d)
@@ -645,8 +644,12 @@ def model_input_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
+    from stridelake import adapter_queries  # noqa: F401  registers its own
+
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    from stridelake import adapter_queries  # noqa: F401
+
     return dict(SQL)
