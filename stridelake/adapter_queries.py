@@ -166,13 +166,13 @@ def decoded_bins(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""SELECT event_id, CAST(event_id AS VARCHAR) AS episode, CAST(event_id AS INTEGER) AS number, replace(event_type, ' ', '_') || '_' || CASE WHEN value > 50 THEN 'success' ELSE 'failure' END AS outcome,
-CASE event_id % 4 WHEN 0 THEN 1.0 WHEN 1 THEN 0.0 WHEN 2 THEN CASE WHEN event_id % 200 <= 100 THEN (event_id % 200) / 100.0 END END AS success, event_type AS decoded, round(event_id * 1000.0 + value * 1e-6, 6) AS ms FROM events""")
+CASE event_id % 4 WHEN 0 THEN 1.0 WHEN 1 THEN 0.0 WHEN 2 THEN CASE WHEN event_id % 200 <= 100 THEN (event_id % 200) / 100.0 END END AS success, event_type AS decoded, round(event_id * 1000.0 + value, 3) AS ms FROM events""")
 def names_and_answers(spark: SparkSession, sf: str) -> DataFrame:
     e, s = F.col("event_id"), F.col("event_id").cast("string")
     answer = F.when(e % 4 == 0, " Y ").when(e % 4 == 1, "n").when(e % 4 == 2, (e % 200).cast("string")).otherwise("maybe")
     names = [X.episode_id(F.concat(F.lit("run_b_"), s, F.lit(".tar.gz"))).alias("episode"), X.numbered(F.concat(F.lit("out_"), s, F.lit(".mp4"))).alias("number")]
     rest = [X.outcome_name(F.col("event_type"), F.col("value") > 50).alias("outcome"), X.success_value(answer).alias("success"), X.from_bytes(F.col("event_type").cast("binary")).alias("decoded")]
-    return t(spark, sf, "events").select("event_id", *names, *rest, F.round(C.milliseconds(e, F.col("value")), 6).alias("ms"))
+    return t(spark, sf, "events").select("event_id", *names, *rest, F.round(C.milliseconds(e, F.col("value") * 1e6), 3).alias("ms"))
 
 
 @query("SELECT CAST(max(event_id) + 1 AS INTEGER) AS index FROM events")
