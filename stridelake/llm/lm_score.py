@@ -10,11 +10,11 @@ lower, the more it is like the target.
 models is collected or broadcast.
 
 - Hashes of words and bigrams count with 56 bits: of 10^12 bigrams one in 70,000 shares another's.
-- Each task cuts its documents into chunks of about CHUNK tokens. A chunk's distinct words and bigrams go,
-  with its own counts, to parts of the range of their hashes. There are as many parts as the text has times
+- Each task cuts its documents into chunks of about CHUNK tokens, which are stored: documents, distinct words, and
+  tokens as positions among these. A chunk's distinct words and bigrams go, with its own counts, to parts of the range of their hashes. There are as many parts as the text has times
   PART_BYTES, so that a part's size stays the same as the corpus grows; a key comes once a chunk at most.
 - A part sums its keys over all chunks and sends each chunk the totals of the keys that it sent, in their order.
-- A chunk's words, kept as positions among its distinct words, meet these totals and give the losses.
+- The stored chunk meets these totals and gives the losses.
 
 `fit` and `score` are for other documents than the model's own: a broadcast model of at most VOCABULARY words
 and BIGRAMS bigrams, the smallest count that fits being the cut-off. The query doesn't use them.
@@ -241,33 +241,22 @@ def cuts(hashes: np.ndarray, parts: int) -> np.ndarray:
     return np.searchsorted((hashes >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32), np.arange(parts + 1).astype(np.uint64))
 
 
-def chunked(docs: DataFrame, parts: int, size: int) -> DataFrame:
-    """From (doc_id, text, target): chunk, part, body. A part below 0, of one chunk each, holds the chunk's documents
-    and words in order, the others its events."""
+def chunks_of(docs: DataFrame, size: int) -> DataFrame:
+    """From (doc_id, text, target): chunk, body. A body holds a chunk's documents, their targets, its distinct words
+    and its tokens as positions among these."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, done = TaskContext.get().partitionId(), 0
         held: list[tuple] = []
 
-        def out() -> Iterator[pa.RecordBatch]:
+        def out() -> pa.RecordBatch:
             tokens = np.concatenate([n for _, n, _ in held])
             doc_id, target = (pa.chunked_array([part.column(c) for part, _, _ in held]) for c in ("doc_id", "target"))
             words, ids = np.unique(np.concatenate([h for _, _, h in held]) & KEPT_BITS, return_inverse=True)
             held.clear()
-            row = np.repeat(np.arange(len(tokens)), tokens)
-            chunk = Chunk(words, ids, row)
-            pair, both, word, single = chunk.events(target.to_numpy().astype(np.float64)[row])
-            number = task << 32 | done
-            known = doc_id.is_valid().to_numpy().astype(np.int64)
-            found = [(-1 - number, pack(doc_id.fill_null(0).to_numpy(), known, tokens.astype(np.int64), np.diff(words, prepend=np.uint64(0)), ids.astype(np.int64)))]
-            a, b = cuts(pair, parts).tolist(), cuts(word, parts).tolist()
-            for p in range(parts):
-                i, j = slice(a[p], a[p + 1]), slice(b[p], b[p + 1])
-                if i.start < i.stop or j.start < j.stop:
-                    found.append((p, pack(np.diff(pair[i], prepend=np.uint64(0)), *[c[i] for c in both], np.diff(word[j], prepend=np.uint64(0)), *[c[j] for c in single])))
-            for k in range(0, len(found), 1000):
-                some = found[k : k + 1000]
-                yield pa.RecordBatch.from_arrays([pa.array([number] * len(some), pa.int64()), pa.array([p for p, _ in some], pa.int64()), pa.array([body for _, body in some], pa.binary())], ["chunk", "part", "body"])
+            flags = doc_id.is_valid().to_numpy().astype(np.int64) + 2 * target.to_numpy().astype(np.int64)
+            body = pack(doc_id.fill_null(0).to_numpy(), flags, tokens.astype(np.int64), np.diff(words, prepend=np.uint64(0)), ids.astype(np.int64))
+            return pa.RecordBatch.from_arrays([pa.array([task << 32 | done], pa.int64()), pa.array([body], pa.binary())], ["chunk", "body"])
 
         rows = tokens = 0
         for part in (part for whole in batches for part in slices(whole, 4096, 2 << 20)):
@@ -275,23 +264,47 @@ def chunked(docs: DataFrame, parts: int, size: int) -> DataFrame:
             held.append((part.select(["doc_id", "target"]), np.bincount(row, minlength=part.num_rows), h))
             rows, tokens = rows + part.num_rows, tokens + len(h)
             if max(rows, tokens) >= size:
-                yield from out()
+                yield out()
                 rows, tokens, done = 0, 0, done + 1
         if held:
-            yield from out()
+            yield out()
+
+    return docs.select("doc_id", "text", "target").mapInArrow(run, "chunk long, body binary")
 
-    return docs.select("doc_id", "text", "target").mapInArrow(run, "chunk long, part long, body binary")
+
+def opened(body: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, Chunk]:
+    """doc_id, flags (1: has a doc_id, 2: is a target) and tokens of a chunk's documents, the document of each
+    token, and the chunk."""
+    doc_id, flags, tokens, words, ids = unpack(body, 5)
+    row = np.repeat(np.arange(len(tokens)), tokens)
+    return doc_id, flags, tokens, row, Chunk(np.cumsum(words).view(np.uint64), ids, row)
+
+
+def events_of(chunks: DataFrame, parts: int) -> DataFrame:
+    """From (chunk, body): chunk, part, body, the chunk's events that fall into each part of the key range."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for number, body in ((n.as_py(), b) for batch in batches for n, b in zip(batch.column("chunk"), batch.column("body"), strict=True)):
+            _, flags, _, row, chunk = opened(body.as_py())
+            pair, both, word, single = chunk.events((flags >> 1).astype(np.float64)[row])
+            a, b = cuts(pair, parts).tolist(), cuts(word, parts).tolist()
+            found = []
+            for p in range(parts):
+                i, j = slice(a[p], a[p + 1]), slice(b[p], b[p + 1])
+                if i.start < i.stop or j.start < j.stop:
+                    found.append((p, pack(np.diff(pair[i], prepend=np.uint64(0)), *[c[i] for c in both], np.diff(word[j], prepend=np.uint64(0)), *[c[j] for c in single])))
+            for k in range(0, len(found), 1000):
+                some = found[k : k + 1000]
+                yield pa.RecordBatch.from_arrays([pa.array([number] * len(some), pa.int64()), pa.array([p for p, _ in some], pa.int64()), pa.array([body for _, body in some], pa.binary())], ["chunk", "part", "body"])
+
+    return chunks.mapInArrow(run, "chunk long, part long, body binary")
 
 
 def _totals(events: DataFrame) -> DataFrame:
-    """chunk, part, body: the totals of the events that the chunk sent to the part; parts below 0 stay as they are.
+    """chunk, part, body: the totals of the events that the chunk sent to the part.
     words, target, background: on one row of each part, its number of words and of their tokens."""
 
     def run(table: pa.Table) -> pa.Table:
-        if table.column("part")[0].as_py() < 0:
-            for name in ("words", "target", "background"):
-                table = table.append_column(name, pa.array([0] * table.num_rows, pa.int64()))
-            return table
         packs = [unpack(b, 8) for b in table.column("body").to_pylist()]
         sums: list[list[np.ndarray]] = []
         facts = [0, 0, 0]
@@ -314,24 +327,23 @@ def _totals(events: DataFrame) -> DataFrame:
 
 def cross_entropy(docs: DataFrame, chunk: int = CHUNK, part_bytes: int = PART_BYTES) -> DataFrame:
     """doc_id, n_tokens, target_loss, background_loss, score: a row per row of docs (doc_id, text, target), under the
-    models of docs with all their words and bigrams. Partitions of docs must come in the same order when a lost task
-    is run again, as those of stored tables and of with_target do."""
+    models of docs with all their words and bigrams. Chunks are stored first, so that both passes over them see the
+    same ones whatever is run again."""
     prepare(docs.sparkSession)
+    chunks = materialize(chunks_of(docs, chunk), "lm-chunks")
     nbytes = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    totals = materialize(_totals(chunked(docs, 1 + nbytes // part_bytes, chunk)), "lm-totals")
+    totals = materialize(_totals(events_of(chunks, 1 + nbytes // part_bytes)), "lm-totals")
     facts = [v or 0 for v in totals.agg(F.sum("words"), F.sum("target"), F.sum("background")).first()]
     size, total = facts[0] + 1, np.array(facts[1:], np.float64)
 
-    def run(table: pa.Table) -> pa.Table:
-        bodies = sorted(zip(table.column("part").to_pylist(), table.column("body").to_pylist(), strict=True))
-        doc_id, known, tokens, words, ids = unpack(bodies[0][1], 5)
-        row = np.repeat(np.arange(len(tokens)), tokens)
-        back = [np.concatenate(c) for c in zip(*[unpack(body, 6) for _, body in bodies[1:]], strict=True)]
-        each = Chunk(np.cumsum(words).view(np.uint64), ids, row).losses(back[:2], back[2:], size, total)
-        mean = [np.bincount(row, weights=e, minlength=len(tokens)) / np.maximum(tokens, 1) for e in each]
-        return pa.table([pa.array(doc_id, mask=known == 0), pa.array(tokens), pa.array(mean[0]), pa.array(mean[1]), pa.array(mean[0] - mean[1])], ["doc_id", "n_tokens", "target_loss", "background_loss", "score"])
-
-    return totals.select("chunk", "part", "body").groupBy("chunk").applyInArrow(run, RESULT)
+    def run(mine: pa.Table, sums: pa.Table) -> pa.Table:
+        doc_id, flags, tokens, row, one = opened(mine.column("body")[0].as_py())
+        bodies = sorted(zip(sums.column("part").to_pylist(), sums.column("body").to_pylist(), strict=True))
+        back = [np.concatenate(c) for c in zip(*[unpack(body, 6) for _, body in bodies], strict=True)]
+        mean = [np.bincount(row, weights=e, minlength=len(tokens)) / np.maximum(tokens, 1) for e in one.losses(back[:2], back[2:], size, total)]
+        return pa.table([pa.array(doc_id, mask=flags & 1 == 0), pa.array(tokens), pa.array(mean[0]), pa.array(mean[1]), pa.array(mean[0] - mean[1])], ["doc_id", "n_tokens", "target_loss", "background_loss", "score"])
+
+    return chunks.groupBy("chunk").cogroup(totals.select("chunk", "part", "body").groupBy("chunk")).applyInArrow(run, RESULT)
 
 
 def op6_lm_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
