@@ -11,6 +11,7 @@ from stridelake.functions import robots as R
 from stridelake.functions import text as X
 from stridelake.functions import vectors as V
 from stridelake.operators import filters, joins, projections, sampling, sets, windows
+from stridelake.plans.presets import PRESETS
 from stridelake.queries import E64, STEP_SQL, TIMES, query, r6, spread, t, user_steps, vectors64
 from stridelake.sources import writers
 from stridelake.streaming import machines, runner
@@ -78,6 +79,13 @@ def decoded_state_14(spark: SparkSession, sf: str) -> DataFrame:
     return spread(vectors64(spark, sf).select("vec_id", R.decode_state_14(F.slice("x", 1, 14)).alias("y")), "vec_id", "y")
 
 
+@query(f"SELECT vec_id, round(sqrt(list_sum(list_transform({DECODED}, lambda v: v * v))), 6) + 0.0 AS state_norm, 32 AS width FROM ({X64})")
+def model_input_rows(spark: SparkSession, sf: str) -> DataFrame:
+    df = vectors64(spark, sf).select("vec_id", F.slice("x", 1, 14).alias("state"), F.array(F.slice("x", 15, 14), F.slice("x", 29, 14)).alias("actions"))
+    out = PRESETS["dual_arm_14"]().training(df, skip_stats=True)
+    return out.select("vec_id", r6(V.norm(F.col("state"))).alias("state_norm"), F.size(F.get("actions", F.lit(0))).alias("width"))
+
+
 @query(unrolled(f"list_transform(range(28), lambda k: CASE WHEN k % 14 IN (6, 13) THEN (x[k // 14 * 16 + k % 14 + 1] * ({SIGNS})[k % 14 + 1] + 0.5476 + 0.6213) / (1.491 + 0.6213) ELSE x[k // 14 * 16 + k % 14 + 1] * ({SIGNS})[k % 14 + 1] END)", 28))
 def encoded_actions_14(spark: SparkSession, sf: str) -> DataFrame:
     rows = F.array(F.slice("x", 1, 16), F.slice("x", 17, 16))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -59,19 +60,75 @@ def parsed(x: np.ndarray) -> np.ndarray:
     return channels_last(to_bytes(np.asarray(x)))
 
 
-def resized(x: np.ndarray, h: int, w: int) -> np.ndarray:
-    """Bilinear, with centres of pixels as sample points."""
-    if x.shape[:2] == (h, w):
-        return x
-    ys = np.clip((np.arange(h) + 0.5) * x.shape[0] / h - 0.5, 0, x.shape[0] - 1)
-    xs = np.clip((np.arange(w) + 0.5) * x.shape[1] / w - 0.5, 0, x.shape[1] - 1)
-    y0, x0 = np.floor(ys).astype(int), np.floor(xs).astype(int)
-    y1, x1 = np.minimum(y0 + 1, x.shape[0] - 1), np.minimum(x0 + 1, x.shape[1] - 1)
-    fy, fx = (ys - y0)[:, None, None], (xs - x0)[None, :, None]
-    f = x.astype(np.float64)
-    top = f[y0][:, x0] * (1 - fx) + f[y0][:, x1] * fx
-    low = f[y1][:, x0] * (1 - fx) + f[y1][:, x1] * fx
-    return np.clip(np.rint(top * (1 - fy) + low * fy), 0, 255).astype(np.uint8)
+def _cubic(x: np.ndarray) -> np.ndarray:
+    """Cubic convolution with a = -0.5."""
+    x = np.abs(x)
+    return np.where(x < 1, (1.5 * x - 2.5) * x * x + 1, np.where(x < 2, ((-0.5 * x + 2.5) * x - 4) * x + 2, 0))
+
+
+#: Half the width of each kernel in source pixels, and its curve.
+KERNELS = {"bilinear": (1.0, lambda x: np.maximum(0, 1 - np.abs(x))), "bicubic": (2.0, _cubic)}
+#: Weights are whole multiples of 1 / SCALE, so sums of pixels are exact in doubles.
+SCALE = 1 << 22
+
+
+@lru_cache(64)
+def _weights(n: int, m: int, kernel: str) -> np.ndarray:
+    """m by n: the share of each of n pixels in each of m. When shrinking, the kernel widens to cover all pixels."""
+    reach, curve = KERNELS[kernel]
+    wide = max(n / m, 1.0)
+    centre, at = (np.arange(m)[:, None] + 0.5) * (n / m), np.arange(n)[None, :]
+    inside = (at >= np.trunc(np.maximum(centre - reach * wide + 0.5, 0))) & (at < np.trunc(centre + reach * wide + 0.5))
+    share = np.where(inside, curve((at + 0.5 - centre) / wide), 0.0)
+    share = share / share.sum(axis=1, keepdims=True) * SCALE
+    return np.trunc(share + np.copysign(0.5, share))
+
+
+def resized(x: np.ndarray, h: int, w: int, kernel: str = "bilinear") -> np.ndarray:
+    """Columns, then rows, each pass rounded to bytes; a side that has its size already is left alone."""
+    if x.shape[1] != w:
+        x = _bytes(np.einsum("mn,hnc->hmc", _weights(x.shape[1], w, kernel), x.astype(np.float64), optimize=True))
+    if x.shape[0] != h:
+        x = _bytes(np.einsum("mn,nwc->mwc", _weights(x.shape[0], h, kernel), x.astype(np.float64), optimize=True))
+    return x
+
+
+def _bytes(sums: np.ndarray) -> np.ndarray:
+    return np.clip(np.floor(sums / SCALE + 0.5), 0, 255).astype(np.uint8)
+
+
+def rotated(x: np.ndarray, degrees: float) -> np.ndarray:
+    """About the centre, by bilinear samples; black outside."""
+    h, w = x.shape[:2]
+    c, s = np.cos(np.radians(degrees)), np.sin(np.radians(degrees))
+    y, z = np.mgrid[:h, :w] - np.array([(h - 1) / 2, (w - 1) / 2])[:, None, None]
+    ys, xs = c * y - s * z + (h - 1) / 2, s * y + c * z + (w - 1) / 2
+    framed = np.pad(x.astype(np.float64), ((1, 1), (1, 1), (0, 0)))
+    ys, xs = np.clip(ys, -1, h) + 1, np.clip(xs, -1, w) + 1
+    y0, x0 = np.minimum(ys.astype(int), h), np.minimum(xs.astype(int), w)
+    fy, fx = (ys - y0)[..., None], (xs - x0)[..., None]
+    top = framed[y0, x0] * (1 - fx) + framed[y0, x0 + 1] * fx
+    low = framed[y0 + 1, x0] * (1 - fx) + framed[y0 + 1, x0 + 1] * fx
+    return np.rint(top * (1 - fy) + low * fy).astype(np.uint8)
+
+
+#: Shares of a training image that are kept by the crop, and by which brightness, contrast and saturation change; degrees.
+KEPT, BRIGHTNESS, CONTRAST, SATURATION, DEGREES = 0.95, 0.3, 0.4, 0.5, 5.0
+
+
+def varied(x: np.ndarray, draws: np.ndarray, wrist: bool) -> np.ndarray:
+    """A training image changed by six draws from [0, 1): crop (2) and turn, not for wrist cameras, then
+    brightness, contrast and saturation."""
+    h, w = x.shape[:2]
+    if not wrist:
+        ch, cw = max(1, int(h * KEPT)), max(1, int(w * KEPT))
+        top, left = int(draws[0] * (h - ch + 1)), int(draws[1] * (w - cw + 1))
+        x = rotated(resized(x[top : top + ch, left : left + cw], h, w), (2 * draws[2] - 1) * DEGREES)
+    light, contrast, colour = 1 + (2 * np.asarray(draws[3:]) - 1) * (BRIGHTNESS, CONTRAST, SATURATION)
+    f = np.clip(x / 255.0 * light, 0, 1)
+    f = np.clip((f - f.mean()) * contrast + f.mean(), 0, 1)
+    grey = f.mean(axis=2, keepdims=True)
+    return np.rint(np.clip(grey + (f - grey) * colour, 0, 1) * 255).astype(np.uint8)
 
 
 def fitted_size(h: int, w: int, to_h: int, to_w: int) -> tuple[int, int, int, int]:
@@ -113,8 +170,21 @@ def resize_with_pad(c: Column, h: int, w: int) -> Column:
     return _udf(lambda x: padded_to(x, h, w))(c)
 
 
-def resize(c: Column, h: int, w: int) -> Column:
-    return _udf(lambda x: resized(x, h, w))(c)
+def resize(c: Column, h: int, w: int, kernel: str = "bilinear") -> Column:
+    return _udf(lambda x: resized(x, h, w, kernel))(c)
+
+
+def augmented(c: Column, wrist: bool, seed: int, *keys: str) -> Column:
+    """Images of training, varied by draws that are hashes of (seed, keys): each row has its own, on any partition."""
+    importable()
+
+    @F.pandas_udf(IMAGE)
+    def run(frames: Iterator[tuple[pd.DataFrame, pd.Series]]) -> Iterator[pd.DataFrame]:
+        for f, draws in frames:
+            yield pd.DataFrame([image(varied(pixels(r), d, wrist)) for r, d in zip(f.to_dict("records"), draws, strict=True)], columns=["h", "w", "c", "data"])
+
+    draws = [F.pmod(F.xxhash64(F.lit(seed), F.lit(i), *keys), F.lit(1 << 30)) / float(1 << 30) for i in range(6)]
+    return run(c, F.array(*draws))
 
 
 def stereo_left(c: Column, exact: bool = False) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stridelake.functions import text as X
@@ -104,6 +104,17 @@ def tokenised(encode: Callable[[DataFrame], DataFrame], length: int) -> Transfor
     return run
 
 
+def prompt_tokens(ids: Callable[[Column], Column], length: int, begin: int | None = None) -> Transform:
+    """tokenized_prompt and its mask of `length`: the cleaned prompt and a newline, after an optional first id.
+    ids: see tokenizers.token_ids."""
+
+    def encode(df: DataFrame) -> DataFrame:
+        found = ids(F.concat(X.clean_prompt(F.col("prompt")), F.lit("\n")))
+        return df.withColumn("tokens", F.concat(F.array(F.lit(begin)), found) if begin is not None else found)
+
+    return tokenised(encode, length)
+
+
 @dataclass(frozen=True)
 class DataConfig:
     """repack, data and model transforms of a dataset, and its statistics."""

@@ -423,7 +423,8 @@ def greedy_choice(spark: SparkSession, sf: str) -> DataFrame:
     return t(spark, sf, "embeddings").select("vec_id", sampling.categorical(F.col("embedding"), 0, 0).alias("best"))
 
 
-@query()
+@query("""WITH l AS (SELECT vec_id, CAST(unnest(range(64)) AS INTEGER) AS i, CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings),
+g AS (SELECT vec_id, i, v - ln(-ln((CAST('0x' || substr(md5('9:' || CAST(vec_id AS VARCHAR) || ':' || CAST(i AS VARCHAR)), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296.0::DOUBLE)) AS x FROM l) SELECT vec_id, arg_max(i, x) AS drawn FROM g GROUP BY vec_id""")
 def temperature_choice(spark: SparkSession, sf: str) -> DataFrame:
     return vectors64(spark, sf).select("vec_id", sampling.categorical(F.col("x"), 1.0, 9, "vec_id").alias("drawn"))
 
@@ -628,23 +629,17 @@ def stream_without_repeats(spark: SparkSession, sf: str) -> DataFrame:
     return runner.drained(once, "stream_without_repeats").select("user_id", "event_type")
 
 
-@query()
+@query("""WITH e AS (SELECT user_id, event_id, event_id * 0.001::DOUBLE AS t, CASE WHEN event_type = 'click' THEN value END AS c, CASE WHEN event_type <> 'click' THEN value END AS m FROM events),
+l AS (SELECT *, last_value(c IGNORE NULLS) OVER w AS command, max(CASE WHEN c IS NOT NULL THEN t END) OVER w AS set_at, max(CASE WHEN m IS NOT NULL THEN t END) OVER (PARTITION BY user_id ORDER BY t, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen
+FROM e WINDOW w AS (PARTITION BY user_id ORDER BY t, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+SELECT user_id, t, greatest(-10.0::DOUBLE, least(10.0::DOUBLE, 0.5::DOUBLE * (command - m))) AS velocity FROM l WHERE m IS NOT NULL AND t - set_at <= 5 AND coalesce(t - seen <= 2, true)""")
 def relay_control(spark: SparkSession, sf: str) -> DataFrame:
     e = t(spark, sf, "events").select("user_id", (F.col("event_id") * 0.001).alias("t"), "event_id", F.when(F.col("event_type") == "click", F.col("value")).alias("command"), F.when(F.col("event_type") != "click", F.col("value")).alias("measured"))
     return runner.over_table(e, machines.Relay(0.5, 10.0, 5.0, 2.0), "user_id", ["t", "event_id"])
 
 
-@query()
-def model_input_rows(spark: SparkSession, sf: str) -> DataFrame:
-    from stridelake.plans.presets import PRESETS
-
-    df = vectors64(spark, sf).select("vec_id", F.slice("x", 1, 14).alias("state"), F.array(F.slice("x", 15, 14), F.slice("x", 29, 14)).alias("actions"))
-    out = PRESETS["dual_arm_14"]().training(df, skip_stats=True)
-    return out.select("vec_id", r6(V.norm(F.col("state"))).alias("state_norm"), F.size(F.get("actions", F.lit(0))).alias("width"))
-
-
 def queries() -> dict[str, Query]:
-    from stridelake import adapter_queries  # noqa: F401  registers its own
+    from stridelake import adapter_queries, source_queries  # noqa: F401  register their own
 
     return dict(QUERIES)
 

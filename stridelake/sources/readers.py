@@ -123,6 +123,12 @@ def keep_ranges(spark: SparkSession, path: str) -> DataFrame:
     return raw.select(F.explode("m").alias("episode_id", "r")).select("episode_id", F.explode("r").alias("p")).select("episode_id", F.col("p")[0].alias("start"), F.col("p")[1].alias("end"))
 
 
+def stored_ranges(spark: SparkSession, path: str) -> DataFrame:
+    """episode_id, start, end of the JSON lines of writers.append_ranges."""
+    rows = spark.read.schema("key string, ranges array<array<bigint>>").json(path)
+    return rows.select(F.col("key").alias("episode_id"), F.explode("ranges").alias("p")).select("episode_id", F.col("p")[0].alias("start"), F.col("p")[1].alias("end"))
+
+
 def annotations(spark: SparkSession, path: str) -> DataFrame:
     """episode_id and its fields, of a JSON object of objects of text."""
     raw = spark.read.text(path, wholetext=True).select(F.from_json("value", "map<string,map<string,string>>").alias("m"))

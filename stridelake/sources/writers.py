@@ -57,6 +57,19 @@ def append_new(rows: DataFrame, path: str, key: str) -> int:
     return done.count()
 
 
+def append_ranges(rows: DataFrame, path: str, key: str = "episode_id") -> int:
+    """Appends (key, start, end) as JSON lines, one per key that isn't stored yet; the number of keys stored before.
+    What a run committed before it failed is skipped by the next."""
+    spark = rows.sparkSession
+    fs, p = _fs(spark, path)
+    done = spark.read.schema("key string").json(path).distinct() if fs.exists(p) else spark.createDataFrame([], "key string")
+    fresh = unprocessed(rows.withColumn("key", F.col(key).cast("string")), done, "key")
+    lists = fresh.groupBy("key").agg(F.array_sort(F.collect_list(F.array(F.col("start").cast("long"), F.col("end").cast("long")))).alias("ranges"))
+    known = done.count()
+    lists.write.mode("append").json(path)
+    return known
+
+
 def append_records(rows: DataFrame, path: str) -> None:
     rows.write.mode("append").parquet(path)
 
@@ -75,13 +88,23 @@ def append_json(rows: DataFrame, path: str) -> None:
 
 
 def replace_folder(df: DataFrame, path: str) -> None:
-    """Writes beside the folder and then takes its place, so readers never see a part."""
+    """Writes beside the folder and then takes its place, so readers never see a part. The old folder is moved aside
+    and goes last: a crash between the two renames leaves both whole, under their other names."""
     spark = df.sparkSession
-    temporary = f"{path}.tmp-{uuid.uuid4().hex}"
+    mark = uuid.uuid4().hex
+    temporary, old = f"{path}.tmp-{mark}", f"{path}.old-{mark}"
     df.write.parquet(temporary)
     fs, target = _fs(spark, path)
-    fs.delete(target, True)
-    fs.rename(_fs(spark, temporary)[1], target)
+    aside = _fs(spark, old)[1]
+    before = fs.exists(target)
+    if before and not fs.rename(target, aside):
+        raise OSError(f"can't move {path} aside")
+    if not fs.rename(_fs(spark, temporary)[1], target):
+        if before:
+            fs.rename(aside, target)
+        raise OSError(f"can't move the new rows to {path}")
+    if before:
+        fs.delete(aside, True)
 
 
 def subsampled_frames(df: DataFrame, every: int, step: str = "step") -> DataFrame:

@@ -69,8 +69,14 @@ def over_stream(df: DataFrame, machine, key: str, order: Sequence[str]) -> DataF
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder below spark.checkpoint.dir, which all executors share; a temporary one where that is unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="stridelake-")
+    """A new folder below spark.checkpoint.dir, which all executors share; a temporary one only where that is unset
+    and the master is local."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not root:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        root = tempfile.mkdtemp(prefix="stridelake-")
     return f"{root.rstrip('/')}/stridelake/{name}-{uuid.uuid4().hex}"
 
 

@@ -3,6 +3,7 @@ import math
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stridelake.functions import control as C
 from stridelake.functions import images as I
@@ -161,3 +162,58 @@ def test_images(spark):
     boxes = spark.range(1).select(I.view_boxes(F.lit(1280), F.lit(1360)).alias("b")).first()["b"]
     assert {k: tuple(v) for k, v in boxes.items()} == {k: I.box_pixels(b, 1280, 1360) for k, b in I.VIEWS.items()}
     assert spark.range(1).select(I.blank(2, 3).alias("b")).first()["b"]["data"] == bytes(18)
+
+
+def test_resizing_against_sums_pixel_by_pixel():
+    rng = np.random.default_rng(3)
+    x = rng.integers(0, 256, (9, 14, 3), dtype=np.uint8)
+
+    def line(v, n, kernel):
+        reach, curve = I.KERNELS[kernel]
+        out, scale = [], len(v) / n
+        wide = max(scale, 1)
+        for i in range(n):
+            centre = (i + 0.5) * scale
+            at = range(max(0, int(centre - reach * wide + 0.5)), min(len(v), int(centre + reach * wide + 0.5)))
+            share = [float(curve(np.array((j + 0.5 - centre) / wide))) for j in at]
+            out.append(min(255, max(0, int(np.floor(sum(s * float(v[j]) for s, j in zip(share, at, strict=True)) / sum(share) + 0.5)))))
+        return out
+
+    for kernel in I.KERNELS:
+        for h, w in ((4, 5), (20, 31), (9, 6), (13, 14), (1, 1)):
+            across = np.array([[line(x[r, :, c], w, kernel) for c in range(3)] for r in range(9)]).transpose(0, 2, 1)
+            want = np.array([[line(across[:, q, c], h, kernel) for c in range(3)] for q in range(w)]).transpose(2, 0, 1)
+            assert np.abs(I.resized(x, h, w, kernel).astype(int) - want).max() <= 1
+        assert (I.resized(np.full((7, 5, 3), 200, np.uint8), 180, 320, kernel) == 200).all()
+        assert I.resized(x, 9, 14, kernel) is x
+
+
+def test_augmentation(spark):
+    rng = np.random.default_rng(4)
+    x = rng.integers(0, 256, (12, 16, 3), dtype=np.uint8)
+    assert (I.rotated(x, 0) == x).all() and (I.rotated(x[:12, :12], 90) == np.rot90(x[:12, :12], -1)).all()
+    middle = np.array([0.5, 0.5, 0.5, 0.5, 0.5, 0.5])
+    assert (I.varied(x, middle, wrist=True) == x).all()
+    df = spark.createDataFrame([(k, I.image(x)) for k in range(6)], T.StructType([T.StructField("k", T.IntegerType()), T.StructField("v", I.IMAGE)]))
+    one, other = ([r["v"]["data"] for r in d.select("k", I.augmented(F.col("v"), False, 5, "k").alias("v")).orderBy("k").collect()] for d in (df, df.repartition(3)))
+    assert one == other and len(set(one)) == 6 and all(len(d) == x.size for d in one)
+
+
+def test_token_ids(spark):
+    import os
+
+    from stridelake.functions.tokenizers import encoder, token_ids
+    from stridelake.plans.pipeline import prompt_tokens
+
+    paths = ["/opt/tokenizers/word_bpe_49k.json", "/opt/tokenizers/piece_bpe_32k.model"]
+    if not all(map(os.path.exists, paths)):
+        pytest.skip("no vocabularies here")
+    df = spark.createDataFrame([("pick_up the cup ",), ("",), (None,)], "prompt string")
+    for path in paths:
+        encode = encoder(path.rsplit(".", 1)[-1], open(path, "rb").read())
+        assert [r[0] for r in df.select(token_ids(spark, path)(F.col("prompt"))).collect()] == encode(["pick_up the cup ", "", ""])
+        row = prompt_tokens(token_ids(spark, path), 12, begin=2)(df).first()
+        want = [2, *encode(["pick up the cup\n"])[0]]
+        assert row["tokenized_prompt"] == want + [0] * (12 - len(want)) and row["tokenized_prompt_mask"] == [k < len(want) for k in range(12)]
+    with pytest.raises(ValueError):
+        encoder("txt", b"")

@@ -4,6 +4,9 @@ from conftest import rows_of
 from stridelake import queries as Q
 
 
+Q.queries()  # the other modules register theirs
+
+
 @pytest.mark.parametrize("name", sorted(Q.SQL))
 def test_query_equals_duckdb(spark, sf, duck, name):
     assert rows_of(Q.QUERIES[name](spark, sf).toPandas()) == rows_of(duck.sql(Q.SQL[name]).df())
