@@ -18,15 +18,16 @@ broken by the order of doc_id; repeated rows and further columns are harmless.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stridelake.llm.common import mix64, packed, prepare, read, run_hashes, slices, text_bytes
+from stridelake.llm.common import mix64, prepare, read, run_hashes, slices, text_bytes
 from stridelake.llm.language_id import fold, hash_sample
 
 REFERENCES, DIMENSIONS, NEIGHBOURS, POWER, THRESHOLD = 2500, 64, 15, 8, 0.3
@@ -140,19 +141,22 @@ def score(model: dict, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.where(norm[:, 0] > 1e-9, np.clip(out, 0, 1), model["share"])
 
 
-def scored(docs: DataFrame, model: dict) -> DataFrame:
-    """row (a struct of all columns of docs) and score, for every row."""
+def scored(docs: DataFrame, model: dict, keep: Sequence[str] | None = None) -> DataFrame:
+    """row (a struct of the columns of docs, or of those of `keep`) and score, for every row. A text that is kept
+    goes to the workers once, inside its row."""
     shared = prepare(docs.sparkSession).sparkContext.broadcast(model)
+    names = list(keep or docs.columns)
+    wide = docs.select(F.struct(*(keep or ["*"])).alias("row"), *([] if "text" in names else ["text"]))
+    place = names.index("text") if "text" in names else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, BLOCK):
+            text = batch.column("text") if place is None else pc.struct_field(batch.column("row"), [place])
+            for part in slices(pa.RecordBatch.from_arrays([batch.column("row"), text], ["row", "text"]), BLOCK):
                 s = score(shared.value, *text_bytes(part.column("text")))
                 yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(s, pa.float64())], ["row", "score"])
 
-    wide = packed(docs)
-    schema = T.StructType([*wide.schema.fields, T.StructField("score", T.DoubleType())])
-    return wide.select("row", F.col("row.text").alias("text")).mapInArrow(run, schema)
+    return wide.mapInArrow(run, T.StructType([wide.schema["row"], T.StructField("score", T.DoubleType())]))
 
 
 def good_documents(docs: DataFrame, model: dict, threshold: float = THRESHOLD) -> DataFrame:
@@ -168,5 +172,5 @@ def model_of(spark: SparkSession, docs: DataFrame, sf_dir: str) -> dict:
 
 def op7_quality_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select(F.col("doc_id").cast("long"), "text")
-    found = scored(docs, model_of(spark, docs, sf_dir)).select("row.doc_id", "score")
+    found = scored(docs, model_of(spark, docs, sf_dir), ["doc_id"]).select("row.doc_id", "score")
     return found.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
