@@ -10,24 +10,24 @@ from pyspark.sql import functions as F
 SCHEDULES = ("ones", "zeros", "linear", "exp")
 
 
-def prefix_weights(start: Column, end: Column, total: int, schedule: str = "linear") -> Column:
-    """Weights of a chunk's steps: 1 before start, falling to 0 at end, 0 from there on."""
+def prefix_weight(k: Column, start: Column, end: Column, total: int, schedule: str = "linear") -> Column:
+    """The weight of a chunk's step k: 1 before start, falling to 0 at end, 0 from there on."""
     if schedule not in SCHEDULES:
         raise ValueError(f"schedule must be one of {SCHEDULES}")
     e = F.greatest(F.lit(0), F.least(F.lit(total), end))
     s = F.least(F.greatest(F.lit(0), F.least(F.lit(total), start)), e)
-    steps = F.sequence(F.lit(0), F.lit(total - 1))
-    if schedule == "ones":
-        return F.transform(steps, lambda k: F.when(k < e, 1.0).otherwise(0.0))
-    if schedule == "zeros":
-        return F.transform(steps, lambda k: F.when(k < s, 1.0).otherwise(0.0))
-
-    def weight(k: Column) -> Column:
-        falling = F.lit(1.0) - (k - s + 1) / (e - s + 1).cast("double")
-        w = F.when(k >= e, 0.0).when(k < s, 1.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), falling)))
-        return w * F.expm1(w) / (math.e - 1) if schedule == "exp" else w
-
-    return F.transform(steps, weight)
+    if schedule in ("ones", "zeros"):
+        return F.when(k < (e if schedule == "ones" else s), 1.0).otherwise(0.0)
+    falling = F.lit(1.0) - (k - s + 1) / (e - s + 1).cast("double")
+    w = F.when(k >= e, 0.0).when(k < s, 1.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), falling)))
+    return w * F.expm1(w) / (math.e - 1) if schedule == "exp" else w
+
+
+def prefix_weights(start: Column, end: Column, total: int, schedule: str = "linear") -> Column:
+    """The weights of all steps of a chunk, as an array. For a row per step prefix_weight is cheaper."""
+    if schedule not in SCHEDULES:
+        raise ValueError(f"schedule must be one of {SCHEDULES}")
+    return F.transform(F.sequence(F.lit(0), F.lit(total - 1)), lambda k: prefix_weight(k, start, end, total, schedule))
 
 
 def guidance_weight(t: Column, most: float) -> Column:

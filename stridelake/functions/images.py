@@ -187,6 +187,19 @@ def augmented(c: Column, wrist: bool, seed: int, *keys: str) -> Column:
     return run(c, F.array(*draws))
 
 
+def channels_first(c: Column, h: int | None = None, w: int | None = None) -> Column:
+    """A frame's bytes with channels before rows, resized to fit h x w first if a size is given; one pass in Python."""
+    importable()
+
+    @F.pandas_udf(T.BinaryType())
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
+        for f in frames:
+            shown = (pixels(r) if h is None else padded_to(pixels(r), h, w) for r in f.to_dict("records"))
+            yield pd.Series([x.transpose(2, 0, 1).tobytes() for x in shown], dtype=object)
+
+    return run(c)
+
+
 def stereo_left(c: Column, exact: bool = False) -> Column:
     return _udf(lambda x: left_of_stereo(x, exact))(c)
 

@@ -480,11 +480,10 @@ def gripper_angles(spark: SparkSession, sf: str) -> DataFrame:
 w AS (SELECT *, CASE WHEN k >= e THEN 0.0 WHEN k < s THEN 1.0 ELSE greatest(0.0, least(1.0, 1.0 - (k - s + 1) / CAST(e - s + 1 AS DOUBLE))) END AS w FROM q)
 SELECT event_id, k, round(w, 6) AS linear, round(w * (exp(w) - 1) / (exp(1.0) - 1), 6) AS expo, CASE WHEN k < e THEN 1.0 ELSE 0.0 END AS ones, CASE WHEN k < s THEN 1.0 ELSE 0.0 END AS zeros FROM w""".replace("0.0 WHEN", "0.0::DOUBLE WHEN").replace("1.0 ELSE 0.0 END", "1.0::DOUBLE ELSE 0.0::DOUBLE END"))
 def rtc_prefix_weights(spark: SparkSession, sf: str) -> DataFrame:
-    s, e = F.col("event_id") % 13, F.col("event_id") % 17
+    s, e, k = F.col("event_id") % 13, F.col("event_id") % 17, F.col("k")
     named = {"linear": "linear", "exp": "expo", "ones": "ones", "zeros": "zeros"}
-    zipped = F.arrays_zip(*[C.prefix_weights(s, e, 12, k).alias(n) for k, n in named.items()])
-    out = t(spark, sf, "events").select("event_id", F.posexplode(zipped).alias("k", "z"))
-    return out.select("event_id", "k", *[F.round(F.col(f"z.{n}"), 6).alias(n) for n in named.values()])
+    steps = t(spark, sf, "events").select("event_id", F.explode(F.array(*[F.lit(i) for i in range(12)])).alias("k"))
+    return steps.select("event_id", "k", *[F.round(C.prefix_weight(k, s, e, 12, kind), 6).alias(n) for kind, n in named.items()])
 
 
 @query("""WITH t AS (SELECT event_id, greatest(1e-6, least(1 - 1e-6, value / 100)) AS t FROM events) SELECT event_id, round(least((t * t + (1 - t) * (1 - t)) / (t * (1 - t)), 10), 6) AS w FROM t""")
@@ -540,12 +539,11 @@ def axis_angles(spark: SparkSession, sf: str) -> DataFrame:
     return vectors64(spark, sf).select("vec_id", a.alias("a")).select("vec_id", *[r6(F.get("a", F.lit(i))).alias(n) for i, n in enumerate("abc")])
 
 
-@query("""WITH k AS (SELECT event_id, value, CAST(unnest(range(4)) AS INTEGER) AS k FROM events) SELECT event_id, k, round(sin(value / (4e-3 * pow(4.0 / 4e-3, k / 3.0)) * 2 * pi()), 6) + 0.0 AS s, round(cos(value / (4e-3 * pow(4.0 / 4e-3, k / 3.0)) * 2 * pi()), 6) + 0.0 AS c FROM k""".replace("round(sin", "round(sin").replace(", 6) + 0.0", ", 5) + 0.0"))
+@query("""WITH k AS (SELECT event_id, value, CAST(unnest(range(4)) AS INTEGER) AS k FROM events) SELECT event_id, k, round(sin(value / (4e-3 * pow(4.0 / 4e-3, k / 3.0)) * 2 * pi()), 6) + 0.0 AS s, round(cos(value / (4e-3 * pow(4.0 / 4e-3, k / 3.0)) * 2 * pi()), 6) + 0.0 AS c FROM k""")
 def position_embeddings(spark: SparkSession, sf: str) -> DataFrame:
     e = V.sincos_embedding(F.col("value"), 8, 4e-3, 4.0)
     z = F.arrays_zip(F.slice(e, 1, 4).alias("s"), F.slice(e, 5, 4).alias("c"))
-    r5 = lambda c: F.round(c, 5) + F.lit(0.0)
-    return t(spark, sf, "events").select("event_id", F.posexplode(z).alias("k", "z")).select("event_id", "k", r5(F.col("z.s")).alias("s"), r5(F.col("z.c")).alias("c"))
+    return t(spark, sf, "events").select("event_id", F.posexplode(z).alias("k", "z")).select("event_id", "k", r6(F.col("z.s")).alias("s"), r6(F.col("z.c")).alias("c"))
 
 
 # --- streams in batch form
@@ -639,12 +637,11 @@ def relay_control(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    from stridelake import adapter_queries, source_queries  # noqa: F401  register their own
+    from stridelake import adapter_queries, service_queries, source_queries  # noqa: F401  register their own
 
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    from stridelake import adapter_queries  # noqa: F401
-
+    queries()
     return dict(SQL)

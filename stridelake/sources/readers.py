@@ -223,3 +223,10 @@ def fetched(spark: SparkSession, url: str, cache: str, force: bool = False) -> s
         to.delete(target, True)
         to.rename(partial, target)
     return target.toString()
+
+
+def request_stream(spark: SparkSession, folder: str, request: str, line: str = "line") -> DataFrame:
+    """One row per line of the JSON files that arrive in a folder: the fields of `request`, a schema, all null where a
+    line isn't JSON, and the line itself."""
+    lines = spark.readStream.text(folder).withColumnRenamed("value", line)
+    return lines.withColumn("_r", F.from_json(line, request, {"mode": "PERMISSIVE"})).select("_r.*", line)

@@ -64,6 +64,22 @@ class IfNew:
         return [{"t": row["t"], "mark": row["mark"]}] if new else []
 
 
+@dataclass
+class Newer:
+    """Passes an event only if it is newer than all before it, as a reader does that waits for the next frame."""
+
+    output: str = "t double"
+
+    def start(self) -> dict:
+        return {"last": None}
+
+    def step(self, state: dict, row: dict) -> list[dict]:
+        if state["last"] is not None and row["t"] <= state["last"]:
+            return []
+        state["last"] = row["t"]
+        return [{"t": row["t"]}]
+
+
 @dataclass
 class EveryNth:
     """Passes each n-th event."""
@@ -165,6 +181,40 @@ class History:
         return [out | {"chunk": state["chunk"], "continues": row["previous"] or None, "from_step": row["prefix_start"] if row["previous"] else None}]
 
 
+@dataclass
+class Session:
+    """A server's side of a client's messages. `connect` opens a session, whose first message is the metadata; each
+    request gets its `answer` with its time and the whole time of the answer before. A request without an answer
+    gets an error, which closes the session; until the next `connect` nothing is answered. A health check is
+    answered in any state and changes none."""
+
+    metadata: str = "{}"
+    health: str = "/healthz"
+    output: str = "t double, kind string, body string, infer_ms double, prev_total_ms double"
+
+    def start(self) -> dict:
+        return {"open": False, "total": None}
+
+    def step(self, state: dict, row: dict) -> list[dict]:
+        def message(kind: str, body: str, infer_ms: float | None = None, prev_total_ms: float | None = None) -> dict:
+            return {"t": row["t"], "kind": kind, "body": body, "infer_ms": infer_ms, "prev_total_ms": prev_total_ms}
+
+        if row["path"] == self.health:
+            return [message("health", "OK\n")]
+        out = []
+        if row["connect"]:
+            state.update(open=True, total=None)
+            out.append(message("metadata", self.metadata))
+        if not state["open"]:
+            return out
+        if row["answer"] is None:
+            state["open"] = False
+            return [*out, message("error", "the request can't be read")]
+        out.append(message("answer", row["answer"], row["infer_ms"], state["total"]))
+        state["total"] = row["total_ms"]
+        return out
+
+
 @dataclass
 class Splice:
     """Overlapping chunks without a stall: each row is one control step, with the latency in steps that a

@@ -51,21 +51,28 @@ def over_table(df: DataFrame, machine, key: str, order: Sequence[str]) -> DataFr
     return df.repartition(key).sortWithinPartitions(key, *order).mapInPandas(run, schema)
 
 
-def over_stream(df: DataFrame, machine, key: str, order: Sequence[str]) -> DataFrame:
-    """The same on a stream: rows of a micro-batch are taken in order, and state is kept between batches."""
+def over_stream(df: DataFrame, machine, key: str, order: Sequence[str], idle_ms: int | None = None) -> DataFrame:
+    """The same on a stream: rows of a micro-batch are taken in order, and state is kept between batches. With
+    idle_ms the state of a key without rows for that long is dropped, and its next row starts anew; such a stream
+    is for triggers that go on, as Spark keeps one that ends when its source is drained (`drained`) running for timeouts."""
     importable(df.sparkSession)
     schema = _schema(df, key, machine)
     names = schema.names
 
     def run(k: tuple, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
         held = json.loads(state.get[0]) if state.exists else machine.start()
         rows = pd.concat(list(pdfs)).sort_values(list(order), kind="stable")
         out = [{key: k[0]} | o for row in _rows(rows) for o in machine.step(held, row)]
         state.update((json.dumps(held),))
+        if idle_ms is not None:
+            state.setTimeoutDuration(idle_ms)
         if out:
             yield pd.DataFrame(out, columns=names)
 
-    return df.groupBy(key).applyInPandasWithState(run, schema, "state string", "append", "NoTimeout")
+    return df.groupBy(key).applyInPandasWithState(run, schema, "state string", "append", "NoTimeout" if idle_ms is None else "ProcessingTimeTimeout")
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:

@@ -84,3 +84,58 @@ def test_playback(spark):
     assert [r["value"][0] for r in got.collect()] == [1, 2, 3, 4]
     events = spark.createDataFrame([("a", 1, "x"), ("a", 2, "y"), ("b", 1, "z")], "k string, t int, v string")
     assert {(r["k"], r["v"]) for r in runner.newest_of_batch(events, "k", "t").collect()} == {("a", "y"), ("b", "z")}
+
+
+def test_sessions_and_newer(spark):
+    fields = "k string, t double, path string, connect boolean, answer string, infer_ms double, total_ms double"
+    rows = [("a", 0.0, "/", False, "x", 1.0, 2.0), ("a", 1.0, "/healthz", False, None, None, None), ("a", 2.0, "/", True, "x", 1.0, 2.0), ("a", 3.0, "/", False, "y", 3.0, 4.0)]
+    rows += [("a", 4.0, "/", False, None, None, None), ("a", 5.0, "/", False, "z", 1.0, 1.0), ("a", 6.0, "/", True, "z", 1.0, 1.0)]
+    got = runner.over_table(spark.createDataFrame(rows, fields), M.Session("{}"), "k", ["t"]).collect()
+    assert [(g["t"], g["kind"]) for g in got] == [(1, "health"), (2, "metadata"), (2, "answer"), (3, "answer"), (4, "error"), (6, "metadata"), (6, "answer")]
+    assert [g["prev_total_ms"] for g in got if g["kind"] == "answer"] == [None, 2.0, None]
+    times = spark.createDataFrame([("a", i, v) for i, v in enumerate([1.0, 1.0, 3.0, 2.0, 4.0])], "k string, n int, t double")
+    assert [g["t"] for g in runner.over_table(times, M.Newer(), "k", ["n"]).collect()] == [1, 3, 4]
+    assert [g["t"] for g in playback.newer(times, "k", "n", "t").orderBy("n").collect()] == [1, 3, 4]
+
+
+def test_idle_state_is_dropped(spark, tmp_path):
+    import time
+
+    schema = "k string, t double"
+    spark.createDataFrame([("a", float(i)) for i in range(3)], schema).coalesce(1).write.parquet(str(tmp_path / "in"))
+    files = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+    q = runner.over_stream(files, M.EveryNth(2), "k", ["t"], idle_ms=100).writeStream.format("memory").queryName("idle").option("checkpointLocation", str(tmp_path / "c")).outputMode("append").start()
+    held = []
+    until = time.time() + 60
+    while time.time() < until and (not held or held[-1]):
+        time.sleep(0.2)
+        states = (q.lastProgress or {}).get("stateOperators") or []
+        held += [states[0]["numRowsTotal"]] if states and (held or states[0]["numRowsTotal"]) else []
+    spark.createDataFrame([("a", 9.0)], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    time.sleep(1)
+    while time.time() < until and not any(p["numInputRows"] == 1 for p in q.recentProgress):
+        time.sleep(0.2)
+    q.stop()
+    assert held and held[-1] == 0
+    assert [r["count"] for r in spark.table("idle").collect()] == [2]  # with the first state kept, the fourth row would pass too
+
+
+def test_environments(spark):
+    from stridelake.functions import images as I
+    from stridelake.plans import environments as E
+
+    frame = F.struct(F.lit(1).alias("h"), F.lit(2).alias("w"), F.lit(3).alias("c"), F.unhex(F.lit("010203040506")).alias("data"))
+    df = spark.range(1).select("id", F.array(F.lit(1.0)).alias("state"), F.create_map(F.lit("top"), frame).alias("images"))
+    shown = df.select(I.channels_first(F.col("images")["top"]).alias("d")).first()["d"]
+    assert list(shown) == [1, 4, 2, 5, 3, 6]
+    got = E.dual_arm_simulated().observations(df, "id").first()
+    assert len(got["cam_high"]) == 3 * 224 * 224 and got["state"] == [1.0]
+    with pytest.raises(Exception, match="observation unavailable"):
+        E.dual_arm_real().observations(df).collect()
+    actions = spark.createDataFrame([([0.0] * 15,)], "actions array<double>")
+    with pytest.raises(Exception, match="16 dimensions"):
+        E.two_hands("go").accepted(actions).collect()
+    steps = spark.createDataFrame([("a", i, r, d, False) for i, (r, d) in enumerate([(-1.0, False), (2.0, True), (1.0, False)])], "k string, n int, reward double, terminated boolean, truncated boolean")
+    rows = E.dual_arm_simulated().progress(steps, "k", "n").orderBy("n").collect()
+    assert [(r["episode"], r["done"], r["episode_reward"]) for r in rows] == [(0, False, 0.0), (0, True, 2.0), (1, False, 1.0)]
+    assert not any(r["done"] for r in E.dual_arm_real().progress(steps, "k", "n").collect())
