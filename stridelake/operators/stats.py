@@ -11,13 +11,15 @@ from pyspark.sql import Window as W
 QUANTILES = (0.01, 0.99)
 
 
-def refined_quantiles(long: DataFrame, keys: Sequence[str], value: str, quantiles: Sequence[float], bins: int = 4096) -> DataFrame:
-    """keys and q (an array): exact quantiles, linear between ranks, of any number of rows.
+def refined_quantiles(long: DataFrame, keys: Sequence[str], value: str, quantiles: Sequence[float], bins: int = 4096, edges: DataFrame | None = None) -> DataFrame:
+    """keys and q (an array): exact quantiles, linear between ranks, of any number of rows. edges, if they are known:
+    keys, _low, _high and _n (values that aren't null) of each group.
 
     Three passes with bounded memory: the range of each group; counts of its equal bins, which tell the bins
     that hold the ranks; and the distinct values of those bins alone, with their counts."""
     on = list(keys)
-    edges = long.where(F.col(value).isNotNull()).groupBy(*on).agg(F.min(value).alias("_low"), F.max(value).alias("_high"), F.count(value).alias("_n"))
+    if edges is None:
+        edges = long.where(F.col(value).isNotNull()).groupBy(*on).agg(F.min(value).alias("_low"), F.max(value).alias("_high"), F.count(value).alias("_n"))
     width = (F.col("_high") - F.col("_low")) / bins
     place = F.when(width > 0, F.least(F.floor((F.col(value) - F.col("_low")) / width), F.lit(bins - 1))).otherwise(0).cast("int")
     placed = long.where(F.col(value).isNotNull()).join(edges, on).withColumn("_bin", place)
@@ -37,20 +39,22 @@ def refined_quantiles(long: DataFrame, keys: Sequence[str], value: str, quantile
     return rows.select(*on, F.array(*[F.col(f"_a{i}") + share(q) * (F.col(f"_b{i}") - F.col(f"_a{i}")) for i, q in enumerate(quantiles)]).alias("q"))
 
 
-def vector_statistics(df: DataFrame, columns: Sequence[str], method: str = "exact", accuracy: int = 100_000) -> DataFrame:
+def vector_statistics(df: DataFrame, columns: Sequence[str], method: str = "refined", accuracy: int = 100_000) -> DataFrame:
     """key, dim, count, mean, std (population), min, max, q01, q99: a row per column and dimension.
 
-    Partial aggregation per (key, dim). Quantiles by method: `exact` in one pass, with the distinct values of a
-    dimension in memory; `refined` exact in bounded memory, for tables of any size; `approx` in one pass with
-    memory of the accuracy. Everything else is exact, and nothing depends on partitioning. Vectors of one
-    column should have one length."""
+    Partial aggregation per (key, dim). Quantiles by method: `refined` exact in bounded memory, for tables of any
+    size, in three passes; `exact` in one pass, with the distinct values of a dimension in memory, for tables known
+    to be small; `approx` in one pass with memory of the accuracy. Everything else is exact, and nothing depends on partitioning. Vectors of one
+    column should have one length; a row per column and dimension is small enough to broadcast."""
     if method not in ("exact", "refined", "approx"):
         raise ValueError(f"unknown method {method}")
     elements = F.explode(F.array(*[F.struct(F.lit(c).alias("key"), F.col(c).cast("array<double>").alias("x")) for c in columns]))
     long = df.select(elements.alias("e")).select("e.key", F.posexplode("e.x").alias("dim", "x"))
     plain = [F.count("x").alias("count"), F.avg("x").alias("mean"), F.stddev_pop("x").alias("std"), F.min("x").alias("min"), F.max("x").alias("max")]
     if method == "refined":
-        agg = long.groupBy("key", "dim").agg(*plain).join(refined_quantiles(long, ["key", "dim"], "x", QUANTILES), ["key", "dim"], "left")
+        agg = long.groupBy("key", "dim").agg(*plain)
+        edges = F.broadcast(agg.select("key", "dim", F.col("min").alias("_low"), F.col("max").alias("_high"), F.col("count").alias("_n")))
+        agg = agg.join(F.broadcast(refined_quantiles(long, ["key", "dim"], "x", QUANTILES, edges=edges)), ["key", "dim"], "left")
     else:
         q = F.percentile("x", F.array(*[F.lit(v) for v in QUANTILES])) if method == "exact" else F.percentile_approx("x", list(QUANTILES), accuracy)
         agg = long.groupBy("key", "dim").agg(*plain, q.alias("q"))
@@ -104,9 +108,11 @@ def weighted_statistics(df: DataFrame, column: str, weight: str) -> DataFrame:
 
 
 def timing_statistics(df: DataFrame, key: str, value: str) -> DataFrame:
-    """mean, std (population) and percentiles 25, 50, 75, 90, 95, 99 by key."""
+    """mean, std (population) and exact percentiles 25, 50, 75, 90, 95, 99 by key, in bounded memory; rows without a key
+    are left out."""
+    df = df.where(F.col(key).isNotNull())
     q = (0.25, 0.5, 0.75, 0.9, 0.95, 0.99)
-    agg = df.groupBy(key).agg(F.avg(value).alias("mean"), F.stddev_pop(value).alias("std"), F.percentile(value, F.array(*[F.lit(v) for v in q])).alias("q"))
+    agg = df.groupBy(key).agg(F.avg(value).alias("mean"), F.stddev_pop(value).alias("std")).join(refined_quantiles(df, [key], value, q), key, "left")
     return agg.select(key, "mean", "std", *[F.get("q", F.lit(i)).alias(f"p{int(v * 100)}") for i, v in enumerate(q)])
 
 
