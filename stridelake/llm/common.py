@@ -20,6 +20,8 @@ from pyspark.sql import types as T
 ROOT = str(Path(__file__).resolve().parents[2])
 #: Rows and bytes of an Arrow batch on its way to a Python worker: bounds the worker's memory.
 BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
+#: Rows of ids and digests that a task writes at least, where their number is known.
+FILE_ROWS = 20_000
 #: A side is broadcast only when its rows and their bytes, both measured, stay under these.
 BROADCAST_ROWS, BROADCAST_BYTES = 2_000_000, 48 << 20
 
@@ -65,11 +67,15 @@ def _remove(spark: SparkSession, path: str) -> None:
         pass
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     """Writes df as Parquet to the shared scratch folder and reads it back.
 
-    Cuts the lineage at files that outlive any executor. Deleted when the driver exits."""
+    Cuts the lineage at files that outlive any executor. Deleted when the driver exits.
+    rows: of a table of ids and digests whose last stage reads so many rows at most. It then takes a task and a
+    file for each FILE_ROWS of them, as on a local path each file also starts processes that set its mode."""
     spark = df.sparkSession
+    if rows is not None:
+        df = df.coalesce(max(1, -(-rows // FILE_ROWS)))
     path = f"{scratch_root(spark)}/stridelake/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     atexit.register(_remove, spark, path)

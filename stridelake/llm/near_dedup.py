@@ -404,9 +404,10 @@ def near_texts(docs: DataFrame, similarity: float = SIMILARITY, bucket: int = BU
     spark = prepare(docs.sparkSession)
     rows = materialize(docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), text_digest(F.col("text")).alias("digest"), F.coalesce(F.octet_length("text"), F.lit(0)).alias("size")), "near-rows")
     per = rows.groupBy("digest", "doc_id").agg(F.count("*").alias("n")).groupBy("digest").agg(F.min(F.struct("doc_id", "n")).alias("least"), F.sum("n").alias("rows"))
-    groups = materialize(per.select("digest", F.col("least.doc_id").alias("rep_id"), F.col("least.n").alias("again"), "rows"), "near-groups")
+    n, nbytes = rows.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
+    groups = materialize(per.select("digest", F.col("least.doc_id").alias("rep_id"), F.col("least.n").alias("again"), "rows"), "near-groups", n)
     reps = representatives(docs, groups)
-    idf = spark.sparkContext.broadcast(document_frequencies(reps, groups.count(), rows.agg(F.sum("size")).first()[0] or 0, counters))
+    idf = spark.sparkContext.broadcast(document_frequencies(reps, groups.count(), nbytes, counters))
     texts = materialize(signatures(reps, idf), "signatures")
     members = materialize(buckets(texts.where("features > 0")), "members")
     feats = candidate_features(reps, members, idf)
@@ -417,7 +418,7 @@ def near_texts(docs: DataFrame, similarity: float = SIMILARITY, bucket: int = BU
         links = links.unionByName(_compare_large(large, feats, texts, similarity, bucket))
     labels = components(links)
     classes = groups.select("digest", "rep_id", "rows").join(labels.withColumnRenamed("node", "digest"), "digest", "left").withColumn("label", F.coalesce("label", "digest"))
-    return rows.drop("size"), materialize(classes, "classes")
+    return rows.drop("size"), materialize(classes, "classes", n)
 
 
 def near_classes(docs: DataFrame, similarity: float = SIMILARITY, bucket: int = BUCKET, counters: int = COUNTERS) -> DataFrame:
@@ -438,10 +439,11 @@ def drop_near_copies(docs: DataFrame, similarity: float = SIMILARITY, bucket: in
     best = classes.groupBy("label").agg(F.min(F.struct("rep_id", "digest")).alias("best"))
     lost = classes.join(best, "label").where("rows > 1 OR digest <> best.digest")
     stays = (rows["doc_id"] == F.col("best.rep_id")) & (rows["digest"] == F.col("best.digest"))
-    fates = rows.join(small_or_shuffled(materialize(lost.select("digest", "best"), "lost")), "digest").withColumn("stays", stays)
-    fates = materialize(fates.groupBy(F.col("doc_id").alias("_id"), "digest").agg(F.max("stays").alias("_stays"), F.count("*").alias("_rows")), "fates")
+    n = rows.count()
+    fates = rows.join(small_or_shuffled(materialize(lost.select("digest", "best"), "lost", n)), "digest").withColumn("stays", stays)
+    fates = materialize(fates.groupBy(F.col("doc_id").alias("_id"), "digest").agg(F.max("stays").alias("_stays"), F.count("*").alias("_rows")), "fates", n)
     drop = fates.where("NOT _stays OR _rows > 1")
-    ids = materialize(drop.select("_id").distinct(), "lost-ids")
+    ids = materialize(drop.select("_id").distinct(), "lost-ids", n)
     keyed = packed(docs).withColumn("_key", F.coalesce(F.col("row.doc_id").cast("long"), F.lit(NO_ID)))
     flagged = keyed.join(small_or_shuffled(ids), F.col("_key") == F.col("_id"), "left")
     clean, doubtful = flagged.where(F.col("_id").isNull()), flagged.where(F.col("_id").isNotNull())

@@ -10,6 +10,7 @@ import pyarrow as pa
 import pytest
 
 from stridelake.llm import chat_tree, exact_dedup, language_id, lm_score, mixing, near_dedup, ogg_media, packing, quality_knn, suffix_dedup
+from stridelake.llm.common import materialize
 from stridelake.llm.components import components
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -738,6 +739,32 @@ def test_near_edges(odd):
     assert near_dedup.near_classes(empty(odd)).count() == 0 and near_dedup.drop_near_copies(empty(odd)).count() == 0
 
 
+@pytest.mark.parametrize("few", [0, 40, 200_000])
+def test_components_of_few_edges_in_one_task(spark, few):
+    rng = random.Random(15)
+    edges = [(rng.randrange(150), rng.randrange(150)) for _ in range(90)] + [(i, i + 1) for i in range(300, 360)] + [(7, 7), (300, 301)]
+    name = lambda i: hashlib.sha256(str(i).encode()).digest()[:16]
+    label = {n: n for e in edges for n in e if e[0] != e[1]}
+    for a, b in edges:
+        if a != b and label[a] != label[b]:
+            old, new = label[a], label[b]
+            label = {n: new if x == old else x for n, x in label.items()}
+    expected = {frozenset(name(n) for n in label if label[n] == x) for x in set(label.values())}
+    df = frame(spark, [(name(a), name(b)) for a, b in edges], "a binary, b binary")
+    out = components(df, few)
+    found = [(bytes(r["node"]), bytes(r["label"])) for r in out.collect()]
+    assert len(found) == len(label)
+    assert {frozenset(n for n, x in found if x == y) for _, y in found} == expected
+    if few == 200_000:
+        assert len(out.inputFiles()) == 1 and all(x == min(n for n, z in found if z == x) for _, x in found)
+    assert components(empty(df), few).count() == 0
+
+
+def test_tables_of_known_length_are_written_as_few_files(spark):
+    rows = spark.range(25_000).repartition(11, "id")
+    assert len(materialize(rows, "test-few", 25_000).inputFiles()) == 2 and materialize(rows, "test-few", 0).count() == 25_000
+
+
 def test_components(spark):
     rng = random.Random(14)
     edges = [(rng.randrange(200), rng.randrange(200)) for _ in range(120)] + [(i, i + 1) for i in range(300, 360)] + [(7, 7)]
