@@ -36,6 +36,8 @@ CONTROL = ("<s>", "</s>", "[INST]", "[/INST]", "[SYS]", "[/SYS]", "[ROLE]", "[/R
 _ANY = re.compile("(" + "|".join(map(re.escape, CONTROL)) + ")")
 #: Tokens of a block, about: the next conversation starts a new block once a block has this many.
 BLOCK_TOKENS = 16_384
+#: Bytes of nodes that a worker puts out at once, about. A long path that is repeated at each cut can make much of a small batch.
+OUT_BYTES = 4 << 20
 VOCABULARY, FIRST_MARK = "byte_bpe_50k.tiktoken", 50_257
 DIGEST = 16
 
@@ -154,48 +156,56 @@ def conversations(rows: DataFrame) -> DataFrame:
 NODES = "block_id string, place int, node binary, parent binary, depth int, role string, start int, length int, position int, attend array<struct<start:int,end:int>>, loss_start int, loss_end int, ids binary, is_leaf boolean"
 
 
+def node_batches(batches: Iterator[pa.RecordBatch], path: str, block_tokens: int = BLOCK_TOKENS, out_bytes: int = OUT_BYTES) -> Iterator[pa.RecordBatch]:
+    """The nodes of conversations that come in the order of their paths, in batches of about out_bytes, or one node."""
+    names = [c.split()[0] for c in re.sub("<[^ ]*>", "", NODES).split(", ")]
+    kinds = [pa.string(), pa.int32(), pa.binary(), pa.binary(), pa.int32(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])), pa.int32(), pa.int32(), pa.binary(), pa.bool_()]
+    enc = encoding(path)
+    block, size, place, waiting = "", 0, 0, 0
+    stack: list[tuple[bytes, int, int, int]] = []  # digest, start, end, position after it
+    rows: list[tuple] = []
+
+    def table() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names)
+
+    for batch in batches:
+        for leaf, digests, turns in zip(batch.column("leaf").to_pylist(), batch.column("path").to_pylist(), batch.column("turns").to_pylist(), strict=True):
+            nodes = [digests[i : i + DIGEST] for i in range(0, len(digests), DIGEST)]
+            shared = 0
+            while shared < min(len(stack), len(nodes)) and stack[shared][0] == nodes[shared]:
+                shared += 1
+            if not shared or size >= block_tokens:
+                block, size, place, shared = leaf.hex(), 0, 0, 0
+            del stack[shared:]
+            for depth in range(shared, len(nodes)):
+                role, text = turns[depth]["role"], turns[depth]["text"]
+                ids, a, b = node_tokens(enc, role, text)
+                if not depth:
+                    ids, a, b = np.concatenate([np.array([FIRST_MARK], np.uint32), ids]), a + 1, b + 1
+                attend: list[dict] = []
+                for _, s, e, _ in stack:
+                    if attend and attend[-1]["end"] == s:
+                        attend[-1]["end"] = e
+                    else:
+                        attend.append({"start": s, "end": e})
+                position = stack[-1][3] if stack else 0
+                rows.append((block, place, nodes[depth], nodes[depth - 1] if depth else None, depth, role, size, len(ids), position, attend, size + a, size + b, ids.astype("<u4").tobytes(), depth == len(nodes) - 1))
+                stack.append((nodes[depth], size, size + len(ids), position + len(ids)))
+                size, place, waiting = size + len(ids), place + 1, waiting + 4 * len(ids) + 100
+                if waiting >= out_bytes:
+                    yield table()
+                    rows, waiting = [], 0
+    if rows:
+        yield table()
+
+
 def tree_nodes(convs: DataFrame, path: str | None = None, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
     """From distinct conversations (leaf, path, turns): a row per node of each block, in depth-first order.
 
     start and length count tokens of the block, as do attend (the ancestors' tokens) and the loss span."""
     path = path or vocabulary_path()
-    names = [c.split()[0] for c in re.sub("<[^ ]*>", "", NODES).split(", ")]
-    kinds = [pa.string(), pa.int32(), pa.binary(), pa.binary(), pa.int32(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])), pa.int32(), pa.int32(), pa.binary(), pa.bool_()]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoding(path)
-        block, size, place = "", 0, 0
-        stack: list[tuple[bytes, int, int, int]] = []  # digest, start, end, position after it
-        for batch in batches:
-            rows: list[tuple] = []
-            for leaf, digests, turns in zip(batch.column("leaf").to_pylist(), batch.column("path").to_pylist(), batch.column("turns").to_pylist(), strict=True):
-                nodes = [digests[i : i + DIGEST] for i in range(0, len(digests), DIGEST)]
-                shared = 0
-                while shared < min(len(stack), len(nodes)) and stack[shared][0] == nodes[shared]:
-                    shared += 1
-                if not shared or size >= block_tokens:
-                    block, size, place, shared = leaf.hex(), 0, 0, 0
-                del stack[shared:]
-                for depth in range(shared, len(nodes)):
-                    role, text = turns[depth]["role"], turns[depth]["text"]
-                    ids, a, b = node_tokens(enc, role, text)
-                    if not depth:
-                        ids, a, b = np.concatenate([np.array([FIRST_MARK], np.uint32), ids]), a + 1, b + 1
-                    attend: list[dict] = []
-                    for _, s, e, _ in stack:
-                        if attend and attend[-1]["end"] == s:
-                            attend[-1]["end"] = e
-                        else:
-                            attend.append({"start": s, "end": e})
-                    position = stack[-1][3] if stack else 0
-                    rows.append((block, place, nodes[depth], nodes[depth - 1] if depth else None, depth, role, size, len(ids), position, attend, size + a, size + b, ids.astype("<u4").tobytes(), depth == len(nodes) - 1))
-                    stack.append((nodes[depth], size, size + len(ids), position + len(ids)))
-                    size, place = size + len(ids), place + 1
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names)
-
     ranged = convs.select("leaf", "path", "turns").repartitionByRange("path").sortWithinPartitions("path")
-    return ranged.mapInArrow(run, NODES)
+    return ranged.mapInArrow(lambda batches: node_batches(batches, path, block_tokens), NODES)
 
 
 def read_back(nodes: DataFrame, path: str | None = None) -> DataFrame:

@@ -151,6 +151,20 @@ def test_shared_turns_are_emitted_once(spark):
     assert [(x["start"], x["end"]) for x in got[-1]["attend"]] == [(0, got[1]["start"] + got[1]["length"])]
 
 
+def test_a_path_repeated_at_every_cut_goes_out_in_small_batches():
+    name = lambda *x: hashlib.blake2b(repr(x).encode(), digest_size=chat_tree.DIGEST).digest()
+    trunk = [(name("trunk", i), {"role": "user", "text": f"turn {i} " * 40}) for i in range(20)]
+    paths = [[*trunk, (name("leaf", k), {"role": "assistant", "text": f"answer {k}"})] for k in range(60)]
+    kind = pa.list_(pa.struct([("role", pa.string()), ("text", pa.string())]))
+    batch = pa.RecordBatch.from_arrays([pa.array([p[-1][0] for p in paths], pa.binary()), pa.array([b"".join(d for d, _ in p) for p in paths], pa.binary()), pa.array([[x for _, x in p] for p in paths], kind)], ["leaf", "path", "turns"])
+    run = lambda most: list(chat_tree.node_batches(iter([batch]), chat_tree.vocabulary_path(), 500, most))
+    small, whole = run(20_000), run(1 << 30)
+    sizes = [sum(len(x) for x in b.column("ids").to_pylist()) for b in small]
+    assert len(whole) == 1 and sum(sizes) > 150_000 and len(small) > 7 and max(sizes) < 25_000
+    assert pa.Table.from_batches(small).to_pylist() == whole[0].to_pylist()
+    assert sum(r["is_leaf"] for r in whole[0].to_pylist()) == 60
+
+
 def test_escape_is_reversible():
     for text in ["", "</s>[INST] ok [/INST]", "\\<s>", "<s", "[\\INST]", "\\\\", "a\\"]:
         assert chat_tree.unescape(chat_tree.escape(text)) == text and not chat_tree._ANY.search(chat_tree.escape(text))
