@@ -16,6 +16,11 @@ A byte goes when it is covered by a string of LENGTH bytes that starts anywhere
 4. An anchor with more than HOT contexts is dealt to several shards. Each of those puts out the sorted
    hashes of its distinct windows; lists of different shards are merged, range by range, by binary search,
    and what other shards hold too is looked up in the shard again, by binary search.
+5. Passages. A run of WORDS words is often shorter than LENGTH bytes and then stays. So that it can be seen, words in
+   runs of WORDS words that another document holds too are counted (n_shared_words); nothing is removed for it. Words
+   are runs of bytes that are no ASCII white space, and which white space parts them makes no difference. The way
+   is that of 0 to 2 with words for bytes; windows of contexts that differ are compared one by one, by two 64-bit
+   hashes, in a shuffle that adds up equal ones before it sends them.
 
 Defined cases: null counts as empty; texts shorter than LENGTH bytes are kept whole; overlaps count, inside
 a text too; equal texts of at least LENGTH bytes all go; repeated rows are equal texts; null doc_ids stay
@@ -32,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stridelake.llm.common import BASE, INVERSE, materialize, mix64, powers, prepare, read, run_hashes, small_or_shuffled, text_bytes
+from stridelake.llm.common import BASE, INVERSE, materialize, mix64, powers, prepare, read, run_hashes, slices, small_or_shuffled, text_bytes
 
 LENGTH, GRAM = 400, 100
 #: Bytes of a shard, and contexts of an anchor that one shard takes at most, about.
@@ -44,6 +49,10 @@ TASKS = 20_000
 #: Windows that are hashed at once.
 PIECE = 1 << 20
 SEPARATOR = 255  # in no UTF-8 text
+#: Words of a passage ("over 50"), and of the grams among which its anchor is chosen.
+WORDS, WORD_GRAM = 51, 8
+#: Words that are hashed at once; fewer than 2^20 with a passage's.
+PIECE_WORDS = 1 << 17
 
 
 def sliding_least(x: np.ndarray, width: int) -> np.ndarray:
@@ -382,34 +391,159 @@ def _merged(spans: DataFrame, length: int) -> DataFrame:
     return lists.mapInArrow(run, "digest binary, spans array<struct<start:long,end:long>>")
 
 
+def words_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of a batch of texts: text and 64-bit hash of each word, in order."""
+    inside = (data != 32) & ((data < 9) | (data > 13))
+    edge = np.ones(len(data) + 1, bool)
+    edge[1:-1] = inside[1:] != inside[:-1]
+    edge[offsets] = True
+    cuts = np.flatnonzero(edge)
+    starts, ends = cuts[:-1], cuts[1:]
+    word = inside[starts]
+    starts, ends = starts[word], ends[word]
+    hashes = np.empty(len(starts), np.uint64)
+    i = 0
+    while i < len(starts):
+        j = max(i + 1, int(np.searchsorted(ends, starts[i] + PIECE, side="right")))
+        hashes[i:j] = run_hashes(data[starts[i] : ends[j - 1]], starts[i:j] - starts[i], ends[i:j] - starts[i])
+        i = j
+    return np.searchsorted(offsets, starts, side="right") - 1, hashes
+
+
+def sequence_hashes(hashes: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each run hashes[begin:end] of words."""
+    with np.errstate(over="ignore"):
+        prefix = np.zeros(len(hashes) + 1, np.uint64)
+        np.cumsum(hashes * powers(BASE, len(hashes)), out=prefix[1:])
+        return mix64((prefix[end] - prefix[begin]) * powers(INVERSE, len(hashes) + 1)[begin])
+
+
+def _both_hashes(hashes: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return sequence_hashes(hashes, begin, end).view(np.int64), sequence_hashes(mix64(~hashes), begin, end).view(np.int64)
+
+
+def word_records(text: np.ndarray, hashes: np.ndarray, words: int, gram: int) -> tuple[np.ndarray, ...]:
+    """Of the words of a batch: text, anchor hash, two hashes of the context, first window's place in the text, number
+    of windows. Where a long batch is cut, so is a record: its windows are compared one by one then."""
+    low = np.uint64((1 << 20) - 1)
+    found = [tuple(np.zeros(0, np.int64) for _ in range(6))]
+    for a in range(0, len(hashes) - words + 1, PIECE_WORDS):
+        part, owner = hashes[a : a + PIECE_WORDS + words - 1], text[a : a + PIECE_WORDS + words - 1]
+        n = len(part) - words + 1
+        at = np.arange(len(part) - gram + 1)
+        grams = sequence_hashes(part, at, at + gram)
+        anchor = (sliding_least((grams & ~low) | at.astype(np.uint64), words - gram + 1) & low).astype(np.int64)
+        whole = owner[:n] == owner[words - 1 :]
+        edge = np.ones(n + 1, bool)
+        edge[1:-1] = (anchor[1:] != anchor[:-1]) | (whole[1:] != whole[:-1]) | (owner[1:n] != owner[: n - 1])
+        cuts = np.flatnonzero(edge)
+        begin, end = cuts[:-1], cuts[1:]
+        keep = whole[begin]
+        begin, end = begin[keep], end[keep]
+        found.append((owner[begin], grams[anchor[begin]].view(np.int64), *_both_hashes(part, begin, end + words - 1), begin + a - np.searchsorted(text, owner[begin]), end - begin))
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+
+def _word_records(texts: DataFrame, words: int, gram: int) -> DataFrame:
+    """digest, its first half as a number, and the records of each text."""
+    names = ["anchor", "a", "b", "first", "windows"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in (p for batch in batches for p in slices(batch)):
+            text, *columns = word_records(*words_of(*text_bytes(part.column("text"))), words, gram)
+            if len(text):
+                digest = part.column("digest")
+                number = np.array([int.from_bytes(x[:8], "little", signed=True) for x in digest.to_pylist()], np.int64)
+                yield pa.RecordBatch.from_arrays([digest.take(pa.array(text)), pa.array(number[text]), *map(pa.array, columns)], ["digest", "number", *names])
+
+    return texts.select("digest", "text").mapInArrow(run, "digest binary, number long" + "".join(f", {x} long" for x in names))
+
+
+def _word_windows(texts: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """digest, first, a, b, low, high: each window of wanted (digest, first, windows, low, high)."""
+    per = materialize(wanted.groupBy("digest").agg(F.collect_list(F.struct("first", "windows", "low", "high")).alias("records")), "passages-wanted")
+    chosen = texts.join(small_or_shuffled(per), "digest").select("digest", "text", "records")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in (p for batch in batches for p in slices(batch)):
+            text, hashes = words_of(*text_bytes(part.column("text")))
+            lists = part.column("records")
+            first, windows, low, high = (lists.flatten().field(k).to_numpy() for k in range(4))
+            row = np.repeat(np.arange(part.num_rows), lists.value_lengths().to_numpy())
+            record = np.repeat(np.arange(len(row)), windows)
+            place = np.arange(len(record)) - np.repeat(np.cumsum(windows) - windows, windows) + first[record]
+            begin = np.searchsorted(text, row[record]) + place
+            a, b = _both_hashes(hashes, begin, begin + words)
+            for i in range(0, len(record), 1 << 17):
+                j = slice(i, i + (1 << 17))
+                yield pa.RecordBatch.from_arrays([part.column("digest").take(pa.array(row[record[j]])), *(pa.array(x[j]) for x in (place, a, b, low[record], high[record]))], ["digest", "first", "a", "b", "low", "high"])
+
+    return chosen.mapInArrow(run, "digest binary, first long, a long, b long, low long, high long")
+
+
+def shared_passages(keyed: DataFrame, words: int = WORDS, gram: int = WORD_GRAM) -> DataFrame:
+    """digest and passages (start, end, in words): the maximal runs of words that runs of `words` words cover which
+    another document holds too. Of a copied text the end is WHOLE, however few its words are. keyed: that of repeats()."""
+    long_ones = keyed.where(F.octet_length("text") >= 2 * words - 1)
+    copied = materialize(long_ones.groupBy("digest").agg(F.min("id").alias("id"), F.count("*").alias("n")).where("n > 1").select("digest", "id"), "passages-copied")
+    texts = _once(long_ones, copied)
+    ends = (F.min("number").alias("low"), F.max("number").alias("high"))
+    found = materialize(_word_records(texts, words, gram), "passages-anchors")
+    several = materialize(found.groupBy("anchor").agg(*ends).where("low < high").select("anchor"), "passages-several")
+    near = materialize(found.join(small_or_shuffled(several), "anchor"), "passages-candidates")
+    context = ["anchor", "a", "b"]
+    distinct = materialize(near.groupBy(*context).agg(*ends, F.min(F.struct("digest", "first", "windows")).alias("at")), "passages-contexts")
+    settled = materialize(distinct.where("low < high").select(*context), "passages-settled")
+    whole = copied.select("digest", F.lit(0).cast("long").alias("first"), F.lit(-1).cast("long").alias("windows"))
+    spans = near.join(small_or_shuffled(settled), context).select("digest", "first", "windows").unionByName(whole)
+    differ = materialize(distinct.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "passages-differ")
+    to_compare = materialize(distinct.join(small_or_shuffled(differ), "anchor"), "passages-to-compare")
+    # one place stands for a settled context; of the others, which may come twice in their text, every place counts
+    places = near.join(small_or_shuffled(materialize(to_compare.where("low = high").select(*context), "passages-open")), context)
+    wanted = places.select("digest", "first", "windows", F.col("number").alias("low"), F.col("number").alias("high"))
+    wanted = wanted.unionByName(to_compare.where("low < high").select("at.*", "low", "high"))
+    windows = materialize(_word_windows(texts, wanted, words), "passages-windows")
+    shared = materialize(windows.groupBy("a", "b").agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low < high").select("a", "b"), "passages-shared")
+    spans = spans.unionByName(windows.join(small_or_shuffled(shared), ["a", "b"]).select("digest", "first", F.lit(1).cast("long").alias("windows")))
+    return materialize(_merged(spans, words).withColumnRenamed("spans", "passages"), "passages")
+
+
 REMOVED = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+SHARED = ", n_shared_words long"
 
 
-def without_repeats(docs: DataFrame, length: int = LENGTH, with_kept: bool = False, **params) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, and, if asked for, spans (start, end of each removed
-    run) and kept (the bytes left)."""
+def without_repeats(docs: DataFrame, length: int = LENGTH, with_kept: bool = False, words: int | None = None, **params) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256; if `words` is given, n_shared_words: how many words lie in
+    runs of so many that another document holds too, as they stand in the input; and, if asked for, spans (start, end
+    of each removed run) and kept (the bytes left)."""
     keyed, spans = repeats(docs, length, **params)
-    joined = keyed.join(small_or_shuffled(spans), "digest", "left").select("doc_id", "text", "spans")
-    schema = REMOVED + ", spans array<struct<start:long,end:long>>, kept binary" * with_kept
+    passages = F.lit(0).cast("long")
+    if words:
+        spans = materialize(spans.join(shared_passages(keyed, words), "digest", "full"), "found")
+        passages = F.coalesce(F.aggregate("passages", F.lit(0).cast("long"), lambda n, p: n + p["end"] - p["start"]), passages)
+    joined = keyed.join(small_or_shuffled(spans), "digest", "left").select("doc_id", "text", "spans", passages.alias("passages"))
+    schema = REMOVED + SHARED * bool(words) + ", spans array<struct<start:long,end:long>>, kept binary" * with_kept
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = text_bytes(batch.column("text"))
             raw, cut = data.tobytes(), offsets.tolist()
             rows = []
-            for i, found in enumerate(batch.column("spans").to_pylist()):
+            for i, (found, shared) in enumerate(zip(batch.column("spans").to_pylist(), batch.column("passages").to_pylist(), strict=True)):
                 text = raw[cut[i] : cut[i + 1]]
                 merged = [(s["start"], min(s["end"], len(text))) for s in found or ()]
                 edges = [0, *(x for s in merged for x in s), len(text)]
                 kept = b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
-                rows.append((len(text), len(text) - len(kept), len(merged), hashlib.sha256(kept).hexdigest(), [{"start": a, "end": b} for a, b in merged], kept))
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), pa.binary()]
-            names = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "spans", "kept"]
-            k = len(names) if with_kept else 4
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array([r[j] for r in rows], kinds[j]) for j in range(k))], ["doc_id", *names[:k]])
+                if shared > len(text):  # a copied text's end is WHOLE
+                    shared = n if (n := len(text.split())) >= words else 0
+                rows.append((len(text), len(text) - len(kept), len(merged), hashlib.sha256(kept).hexdigest(), shared, [{"start": a, "end": b} for a, b in merged], kept))
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), pa.binary()]
+            names = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "n_shared_words", "spans", "kept"]
+            chosen = [k for k in range(len(names)) if k < 4 or (words if k == 4 else with_kept)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array([r[k] for r in rows], kinds[k]) for k in chosen)], ["doc_id", *(names[k] for k in chosen)])
 
     return joined.mapInArrow(run, schema)
 
 
 def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return without_repeats(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return without_repeats(read(spark, sf_dir, "documents").select("doc_id", "text"), words=WORDS)

@@ -260,6 +260,54 @@ def test_repeats_edges(odd):
     assert got["n_removed"] == 12000 and got["kept"] == b"" and [(s["start"], s["end"]) for s in got["spans"]] == [(0, 12000)]
 
 
+def test_passages_shorter_than_the_removed_strings_are_counted(spark):
+    """Words in runs of 12 that another document holds too, against brute force."""
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(40)]
+    say = lambda n: [rng.choice(words) for _ in range(n)]
+    passages = [say(30) for _ in range(5)]
+    parts = [[say(rng.randint(0, 20))] + [rng.choice(passages)[rng.randint(0, 15) :][: rng.randint(8, 18)] + say(rng.randint(0, 3)) for _ in range(rng.randint(0, 4))] for _ in range(80)]
+    texts = ["".join(w + rng.choice([" ", "\n", "\t ", "\r\n"]) for p in ps for w in p) for ps in parts]
+    texts += [" ".join(say(13)), "é " * 12, "é " * 14, "a " * 40, " ".join(["b"] * 11), " ".join(["b"] * 11), None, "", " \n", texts[3], texts[3], texts[3].upper(), "x\u00a0" * 30, "x\u00a0" * 30]
+    for k in range(20):  # a passage twice in a text, of which another text holds a part
+        p = [f"{k}-{i}" for i in range(60)]
+        texts += [" ".join([*p, *say(5), *p]), " ".join([*say(3), *p[10 + k % 7 :][: 14 + k]])]
+    rows = [*enumerate(texts), (None, texts[5])]
+    runs = [(t or "").encode().split() for _, t in rows]
+    holders = {}
+    for d, ws in enumerate(runs):
+        for i in range(len(ws) - 11):
+            holders.setdefault(tuple(ws[i : i + 12]), set()).add(d)
+    want = []
+    for (i, _), ws in zip(rows, runs, strict=True):
+        hit = {j for k in range(len(ws) - 11) if len(holders[tuple(ws[k : k + 12])]) > 1 for j in range(k, k + 12)}
+        want.append((i, len(hit)))
+    got = suffix_dedup.without_repeats(frame(spark, rows).repartition(3), words=12).select("doc_id", "n_shared_words").collect()
+    assert Counter((r["doc_id"], r["n_shared_words"]) for r in got) == Counter(want)
+    assert sum(n > 0 for _, n in want) > 30 and sum(n == 0 for _, n in want) > 5
+
+
+def test_records_of_words_hold_each_window_once(monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "PIECE_WORDS", 40)
+    monkeypatch.setattr(suffix_dedup, "PIECE", 100)
+    rng = random.Random(10)
+    texts = [" ".join(rng.choice(["a", "bb", "é", "x" * 150]) for _ in range(n)) + " \n" for n in (0, 11, 12, 13, 200, 3, 90)]
+    text, hashes = suffix_dedup.words_of(*suffix_dedup.text_bytes(pa.array(texts)))
+    assert text.tolist() == [i for i, t in enumerate(texts) for _ in t.split()] and len(set(hashes.tolist())) == 4
+    owner, _, _, _, first, windows = suffix_dedup.word_records(text, hashes, 12, 8)
+    got = [(i, k) for i, f, n in zip(owner.tolist(), first.tolist(), windows.tolist(), strict=True) for k in range(f, f + n)]
+    assert sorted(got) == [(i, k) for i, t in enumerate(texts) for k in range(len(t.split()) - 11)]
+
+
+def test_a_passage_of_over_50_words_below_400_bytes_is_seen(spark):
+    rng = random.Random(9)
+    say = lambda n: " ".join(f"{rng.randrange(10**5):05d}" for _ in range(n))
+    passage, short = say(51), say(50)
+    rows = [(0, say(90) + " " + passage + " " + say(70)), (1, say(30) + "\n" + passage), (2, say(120) + " " + short + " " + say(20)), (3, short), (4, say(200))]
+    got = {r["doc_id"]: (r["n_shared_words"], r["n_removed"]) for r in suffix_dedup.without_repeats(frame(spark, rows), words=suffix_dedup.WORDS).collect()}
+    assert got == {0: (51, 0), 1: (51, 0), 2: (0, 0), 3: (0, 0), 4: (0, 0)}
+
+
 # --- Ogg
 
 
