@@ -308,6 +308,12 @@ def test_a_passage_of_over_50_words_below_400_bytes_is_seen(spark):
     assert got == {0: (51, 0), 1: (51, 0), 2: (0, 0), 3: (0, 0), 4: (0, 0)}
 
 
+def test_passages_edges(odd):
+    got = suffix_dedup.without_repeats(odd, words=suffix_dedup.WORDS)
+    assert got.columns[-1] == "n_shared_words" and {r["n_shared_words"] for r in got.collect()} == {0} and got.count() == odd.count()
+    assert suffix_dedup.without_repeats(empty(odd), words=suffix_dedup.WORDS).count() == 0
+
+
 # --- Ogg
 
 
